@@ -54,5 +54,11 @@ def write_records(
     """Write the columns in this order; CSV gets a header and quotes that read back exactly."""
     writer = df.select(*columns).write.mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"').option("quoteAll", True)
+        writer = (
+            writer.option("header", True)
+            .option("escape", '"')
+            .option("quoteAll", True)
+            .option("ignoreLeadingWhiteSpace", False)
+            .option("ignoreTrailingWhiteSpace", False)
+        )
     writer.format(fmt).save(path)

@@ -21,11 +21,12 @@ def _between(text: Column, opening: str, closing: str) -> Column:
 def _is_json(text: Column) -> Column:
     """Whether the whole text is one JSON value.
 
-    The parser ignores what follows a complete value, so the text is placed inside an object with
-    a field after it, which is only seen if nothing is left over.
+    The parser ignores what follows a complete value, so the text is placed before an end mark in
+    an array: the mark is the second and last element only if the text is exactly one value.
     """
-    framed = F.concat(F.lit('{"value":'), text, F.lit(',"_end":1}'))
-    return F.try_variant_get(F.try_parse_json(framed), "$._end", "int").isNotNull()
+    framed = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"_end"]')))
+    is_second = F.try_variant_get(framed, "$[1]", "string") == "_end"
+    return is_second & F.try_variant_get(framed, "$[2]", "variant").isNull()
 
 
 def json_text(c: Column | str) -> Column:
