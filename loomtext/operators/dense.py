@@ -195,12 +195,20 @@ def _ids(column: pa.Array) -> np.ndarray:
 def _sides(
     queries: DataFrame, corpus: DataFrame, query_id: str, corpus_id: str, vector: str, extra=()
 ) -> tuple[DataFrame, DataFrame]:
+    # Null vectors are dropped by the tasks that read them: a filter here would make Catalyst
+    # compute a derived vector twice, once below any shuffle.
     wide = F.col(vector).cast("array<double>").alias("_v")
-    q = queries.filter(F.col(vector).isNotNull()).select(F.col(query_id).alias("_q"), wide, *extra)
-    c = corpus.filter(F.col(vector).isNotNull()).select(F.col(corpus_id).alias("_c"), wide, *extra)
+    q = queries.select(F.col(query_id).alias("_q"), wide, *extra)
+    c = corpus.select(F.col(corpus_id).alias("_c"), wide, *extra)
     return q, c
 
 
+def _present(rows):
+    """Rows of an Arrow table or batch that have a vector."""
+    vectors = rows.column(rows.schema.get_field_index("_v"))
+    return rows.filter(vectors.is_valid()) if vectors.null_count else rows
+
+
 def vector_topk(
     queries: DataFrame,
     corpus: DataFrame,
@@ -240,7 +248,7 @@ def _result_schema(q: DataFrame, c: DataFrame) -> T.StructType:
 
 
 def _scan_topk(q: DataFrame, c: DataFrame, k: int) -> DataFrame:
-    table = q.toArrow().combine_chunks()  # measured by the caller
+    table = _present(q.toArrow()).combine_chunks()  # measured by the caller
     vectors = table.column("_v").combine_chunks()
     query_type = table.schema.field("_q").type
     shared = q.sparkSession.sparkContext.broadcast(
@@ -253,6 +261,7 @@ def _scan_topk(q: DataFrame, c: DataFrame, k: int) -> DataFrame:
         id_type = None
         for batch in batches:
             id_type = batch.schema.field(0).type
+            batch = _present(batch)
             if not batch.num_rows or not len(query_ids):
                 continue
             block = _matrix(batch.column(1), matrix.shape[1])
@@ -301,6 +310,7 @@ def grid_topk(
     )
 
     def cell(query_side: pa.Table, corpus_side: pa.Table) -> pa.Table:
+        query_side, corpus_side = _present(query_side), _present(corpus_side)
         query_ids = _ids(query_side.column("_q").combine_chunks())
         ids = _ids(corpus_side.column("_c").combine_chunks())
         if len(query_ids) and len(ids):
@@ -358,15 +368,17 @@ def nearest_cells(df: DataFrame, centres: np.ndarray, n: int, vector: str = "emb
     @F.pandas_udf("array<int>")
     def pick(vectors: pd.Series) -> pd.Series:
         c = shared.value
-        if not len(vectors):
-            return pd.Series([], dtype=object)
-        m = np.vstack([np.asarray(v, dtype=np.float64) for v in vectors])
-        gaps = (c * c).sum(1)[None, :] - 2.0 * (m @ c.T)
-        order = np.argsort(np.round(gaps, 12), axis=1, kind="stable")[:, :n]
-        return pd.Series(list(order.astype(np.int32)))
-
-    present = df.filter(F.col(vector).isNotNull())
-    return present.withColumn("cell", F.explode(pick(vector)))
+        cells = pd.Series([None] * len(vectors), dtype=object)
+        rows = np.flatnonzero(vectors.notna())
+        if len(rows):
+            m = np.vstack([np.asarray(vectors.iloc[i], dtype=np.float64) for i in rows])
+            gaps = (c * c).sum(1)[None, :] - 2.0 * (m @ c.T)
+            order = np.argsort(np.round(gaps, 12), axis=1, kind="stable")[:, :n]
+            cells.iloc[rows] = list(order.astype(np.int32))
+        return cells
+
+    exploded = df.select("*", F.explode_outer(pick(vector)).alias("cell"))
+    return exploded.filter(F.col("cell").isNotNull())
 
 
 def ivf_topk(

@@ -119,10 +119,14 @@ def query_vectors(
     text_col: str = "text",
     **options,
 ) -> tuple[DataFrame, bool]:
-    """Query vectors, and whether the query side was measured small enough to broadcast."""
+    """Query vectors, and whether they were measured small enough to broadcast.
+
+    They are written once, as scoring and explaining read them several times.
+    """
     bounded = within_bound(queries.select(id_col, text_col))
     counts = count_words(queries, id_col, text_col, **options)
-    return tfidf_query(counts, model, id_col, bounded), bounded
+    vectors = written(tfidf_query(counts, model, id_col, bounded), "vectors")
+    return vectors, within_bound(vectors)
 
 
 def vector_space_summary(idf: DataFrame, n_docs: int) -> DataFrame:
@@ -169,42 +173,76 @@ def doc_term_matrix(
     return docs.select(id_col).join(wide, id_col, "left").na.fill(0.0, subset=list(terms))
 
 
-def score_pairs(
+def asked_weights(
     doc_counts: DataFrame,
     vectors: DataFrame,
     model: LexicalModel,
     vectors_bounded: bool = True,
-    explain: bool = False,
     doc_id: str = "doc_id",
-    query_id: str = "query_id",
 ) -> DataFrame:
-    """Cosine of every (query, document) pair that shares a term: one pass over the documents.
+    """(id, hits): per document the unit weights of those terms that some query uses.
 
-    Each document is reduced to its norm and the weights of terms that some query uses; only
-    those leave the scan. With ``explain`` the per-term parts of the score are kept too.
+    One pass over the documents gives both the norm, which needs every term, and the few weights
+    that a search needs; nothing else leaves the scan.
     """
     weights = _weigh(doc_counts, _flag_query_terms(model, vectors, vectors_bounded), doc_id)
     hit = F.when(F.col("_asked"), F.struct("term", F.col("weight").alias("doc_weight")))
     reduced = weights.groupBy(doc_id).agg(
         F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("_norm"),
-        F.collect_list(hit).alias("_hits"),
+        F.collect_list(hit).alias("_hits"),  # at most the words of one text
     )
-    hits = reduced.select(doc_id, "_norm", F.inline_outer("_hits")).filter(
-        F.col("term").isNotNull()
-    )
-    parts = _join_queries(
-        hits.withColumn("doc_weight", F.col("doc_weight") / F.col("_norm")),
-        vectors.withColumnRenamed("weight", "query_weight"),
-        model,
-        vectors_bounded,
-        doc_id,
+
+    def unit(h: Column) -> Column:
+        return F.struct(h["term"].alias("term"), (h["doc_weight"] / F.col("_norm")).alias("doc_weight"))
+
+    return reduced.select(doc_id, F.transform("_hits", unit).alias("hits"))
+
+
+def _parts(
+    weights: DataFrame, vectors: DataFrame, model: LexicalModel, bounded: bool, doc_id: str
+) -> DataFrame:
+    """One row per query, document and shared term."""
+    hits = weights.select(doc_id, F.inline_outer("hits")).filter(F.col("term").isNotNull())
+    asked = vectors.withColumnRenamed("weight", "query_weight")
+    if bounded:
+        joined = hits.join(F.broadcast(asked), "term")
+    else:
+        frequency = model.idf.select("term", F.col("df").alias("n_rows"))
+        joined = salted_join(hits, asked, "term", doc_id, weights=frequency)
+    return joined.withColumn("contribution", F.col("query_weight") * F.col("doc_weight"))
+
+
+def score_pairs(
+    weights: DataFrame,
+    vectors: DataFrame,
+    model: LexicalModel,
+    vectors_bounded: bool = True,
+    doc_id: str = "doc_id",
+    query_id: str = "query_id",
+) -> DataFrame:
+    """Cosine of every (query, document) pair that shares a term."""
+    parts = _parts(weights, vectors, model, vectors_bounded, doc_id)
+    return parts.groupBy(query_id, doc_id).agg(F.sum("contribution").alias("cosine_score"))
+
+
+def explain_hits(
+    best: DataFrame,
+    weights: DataFrame,
+    vectors: DataFrame,
+    vectors_bounded: bool = True,
+    doc_id: str = "doc_id",
+    query_id: str = "query_id",
+) -> DataFrame:
+    """Add the per-term parts of the score, for ranked hits only."""
+    side = F.broadcast(best) if vectors_bounded else best  # a few rows per query
+    hits = weights.join(side, doc_id).select(*best.columns, F.inline_outer("hits"))
+    asked = vectors.withColumnRenamed("weight", "query_weight")
+    asked = F.broadcast(asked) if vectors_bounded else asked
+    parts = hits.join(asked, [query_id, "term"]).withColumn(
+        "contribution", F.col("query_weight") * F.col("doc_weight")
     )
-    part = F.col("query_weight") * F.col("doc_weight")
-    measures = [F.sum(part).alias("cosine_score")]
-    if explain:
-        detail = F.struct("term", "query_weight", "doc_weight", part.alias("contribution"))
-        measures.append(F.collect_list(detail).alias("contributions"))
-    return parts.groupBy(query_id, doc_id).agg(*measures)
+    detail = F.struct("term", "query_weight", "doc_weight", "contribution")
+    return parts.groupBy(*best.columns).agg(F.collect_list(detail).alias("contributions"))
 
 
 def _flag_query_terms(
@@ -215,28 +253,42 @@ def _flag_query_terms(
     return LexicalModel(model.idf.join(side, "term", "left"), model.n_docs, model.bounded)
 
 
-def _join_queries(
-    hits: DataFrame, vectors: DataFrame, model: LexicalModel, bounded: bool, doc_id: str
+def cosine_scores(
+    docs: DataFrame,
+    queries: DataFrame,
+    model: LexicalModel,
+    doc_id: str = "doc_id",
+    query_id: str = "query_id",
+    text_col: str = "text",
+    **options,
 ) -> DataFrame:
-    if bounded:
-        return hits.join(F.broadcast(vectors), "term")
-    frequency = model.idf.select("term", F.col("df").alias("n_rows"))
-    return salted_join(hits, vectors, "term", doc_id, weights=frequency)
+    vectors, bounded = query_vectors(queries, model, query_id, text_col, **options)
+    counts = count_words(docs, doc_id, text_col, **options)
+    weights = asked_weights(counts, vectors, model, bounded, doc_id)
+    return score_pairs(weights, vectors, model, bounded, doc_id, query_id)
 
 
-def cosine_scores(
+def ranked_hits(
     docs: DataFrame,
     queries: DataFrame,
     model: LexicalModel,
-    explain: bool = False,
+    top: int = SEARCH_TOP_K,
     doc_id: str = "doc_id",
     query_id: str = "query_id",
     text_col: str = "text",
     **options,
 ) -> DataFrame:
+    """The top documents per query with their per-term parts.
+
+    The asked weights are written once: ranking reads them for all pairs, explaining for the few
+    hits, and the texts are passed over a single time.
+    """
     vectors, bounded = query_vectors(queries, model, query_id, text_col, **options)
     counts = count_words(docs, doc_id, text_col, **options)
-    return score_pairs(counts, vectors, model, bounded, explain, doc_id, query_id)
+    weights = written(asked_weights(counts, vectors, model, bounded, doc_id), "weights")
+    pairs = score_pairs(weights, vectors, model, bounded, doc_id, query_id)
+    best = top_k(pairs, query_id, "cosine_score", doc_id, top)
+    return explain_hits(best, weights, vectors, bounded, doc_id, query_id)
 
 
 def matched_keywords(contributions: Column) -> Column:
@@ -274,8 +326,7 @@ def search_topk(
     """
     if mode not in ("filter", "flag"):
         raise ValueError("mode must be 'filter' or 'flag'")
-    pairs = cosine_scores(docs, queries, model, True, doc_id, query_id, **options)
-    best = top_k(pairs, query_id, "cosine_score", doc_id, top)
+    best = ranked_hits(docs, queries, model, top, doc_id, query_id, **options)
     if mode == "flag":
         best = _fill_up(best, docs, queries, top, doc_id, query_id)
     above = F.round(F.col("cosine_score"), 9) >= threshold
@@ -352,8 +403,7 @@ def search_with_fallback(
 
     The top score is taken before hits below the threshold are dropped; equality succeeds.
     """
-    pairs = cosine_scores(docs, queries, model, True, doc_id, query_id, **options)
-    best = top_k(pairs, query_id, "cosine_score", doc_id, top)
+    best = ranked_hits(docs, queries, model, top, doc_id, query_id, **options)
     return fallback_payloads(
         best, queries, confidence_threshold, message, actions, doc_id, query_id
     )
@@ -409,9 +459,11 @@ def scenario_report(
 
 def ngram_space_metrics(
     docs: DataFrame,
-    tokens: Column,
+    text_col: str = "text",
     configs: Sequence[tuple[int, int]] = ((1, 1), (1, 2), (1, 3), (2, 2)),
     n_samples: int = 3,
+    id_col: str = "doc_id",
+    **options,
 ) -> DataFrame:
     """Vocabulary size, non-zeros, sparsity and sample multi-word features per n-gram range.
 
@@ -420,7 +472,7 @@ def ngram_space_metrics(
     """
     longest = max(hi for _, hi in configs)
     per_length = let(
-        tokens,
+        tokenize_and_clean(text_col, **options),
         lambda t: F.array(
             *[
                 F.struct(F.lit(n).alias("n"), F.array_distinct(ngrams(t, n, n)).alias("grams"))
@@ -428,7 +480,8 @@ def ngram_space_metrics(
             ]
         ),
     )
-    lengths = docs.select(F.inline_outer(per_length))
+    texts = spread(docs.select(id_col, text_col), id_col)
+    lengths = texts.select(F.inline_outer(per_length))
     grams = lengths.select("n", F.explode_outer("grams").alias("gram")).filter(
         F.col("gram").isNotNull()
     )

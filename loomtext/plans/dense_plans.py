@@ -14,10 +14,10 @@ from ..functions.constants import (
 from ..operators import classify as C
 from ..operators import dense as D
 from ..operators import evaluate as E
-from ..operators.scale import spread
+from ..operators.scale import spread, written
 
 from . import sql as S
-from .tables import Registry, documents, questions, table
+from .tables import Registry, documents, questions, table, texts
 
 R = Registry()
 
@@ -31,8 +31,7 @@ def six(name: str):
 
 
 def embedded_documents(spark, sf):
-    texts = spread(documents(spark, sf).select("doc_id", "text"), "doc_id")
-    return D.embed_text(texts).select("doc_id", "embedding")
+    return D.embed_text(texts(spark, sf)).select("doc_id", "embedding")
 
 
 def embedded_questions(spark, sf):
@@ -49,7 +48,7 @@ QUESTION_VECTORS = S.hashed("qv", "SELECT item_id AS query_id, text FROM benchma
 )
 def embed_text(spark, sf):
     long = embedded_documents(spark, sf).select(
-        "doc_id", F.posexplode("embedding").alias("bucket", "v")
+        "doc_id", F.posexplode_outer("embedding").alias("bucket", "v")
     )
     return long.filter(F.col("v") != 0).select("doc_id", "bucket", six("v"))
 
@@ -78,8 +77,7 @@ def letter_encoder():
          round(CASE WHEN norm = 0 THEN 0 ELSE v[16] / norm END, 4) AS last FROM n""",
 )
 def embed_with(spark, sf):
-    texts = spread(documents(spark, sf).select("doc_id", "text"), "doc_id")
-    encoded = D.embed_with(texts, letter_encoder)
+    encoded = D.embed_with(texts(spark, sf), letter_encoder)
     return encoded.select(
         "doc_id",
         F.round(F.get("embedding", F.lit(0)).cast("double"), 4).alias("first"),
@@ -103,7 +101,7 @@ def l2_normalize(spark, sf):
     )
     return (
         D.normalize_vectors(tripled)
-        .select("vec_id", F.posexplode("embedding").alias("i", "x"))
+        .select("vec_id", F.posexplode_outer("embedding").alias("i", "x"))
         .select("vec_id", "i", six("x"))
     )
 
@@ -303,8 +301,11 @@ def predict_with_fallback(spark, sf):
 
 @R.add("retrain_with_new_class")
 def retrain(spark, sf):
-    texts = documents(spark, sf).select(F.col("lang").alias("intent"), "text")
-    train = D.embed_text(texts).select("intent", "embedding")
+    labelled = spread(documents(spark, sf).select("doc_id", "lang", "text"), "doc_id")
+    # Embedded once, read by every pass of the fit and by the prediction.
+    train = written(
+        D.embed_text(labelled).select(F.col("lang").alias("intent"), "embedding"), "train"
+    )
     extra = D.embed_text(
         questions(spark, sf).select(F.lit("question").alias("intent"), "text")
     ).select("intent", "embedding")

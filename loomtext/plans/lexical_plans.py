@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.constants import FALLBACK_ACTIONS, FALLBACK_MESSAGE, NO_NOTE
-from ..functions.text import tokenize_and_clean
 from ..operators import lexical as L
 from ..operators.hybrid import bm25_topk, edge_reorder, rrf_fuse
 from ..operators.scale import top_k
@@ -299,7 +298,7 @@ def scenario_report(spark, sf):
         FROM m LEFT JOIN f ON f.lo = m.lo AND f.hi = m.hi""",
 )
 def ngram_space_metrics(spark, sf):
-    return L.ngram_space_metrics(documents(spark, sf), tokenize_and_clean("text"))
+    return L.ngram_space_metrics(documents(spark, sf))
 
 
 @R.add(

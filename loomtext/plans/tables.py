@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.scale import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -19,6 +21,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Document texts, spread over the cores if the table has fewer files than that."""
+    return spread(documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+
+
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark texts as queries."""
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), "text")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators.lexical import fit_lexical, search_topk
 from . import sql as S
-from .tables import Registry, documents, questions
+from .tables import Registry, documents, questions, texts
 
 R = Registry()
 
@@ -18,7 +18,7 @@ def joined(c, by=" "):
 
 @R.add("clean_text", f"SELECT doc_id, {S.clean('text')} AS cleaned FROM documents")
 def clean_text(spark, sf):
-    return documents(spark, sf).select("doc_id", X.clean_text("text").alias("cleaned"))
+    return texts(spark, sf).select("doc_id", X.clean_text("text").alias("cleaned"))
 
 
 @R.add(
@@ -26,7 +26,7 @@ def clean_text(spark, sf):
     f"SELECT doc_id, array_to_string({S.tokens('text')}, ' ') AS tokens FROM documents",
 )
 def tokenize(spark, sf):
-    return documents(spark, sf).select("doc_id", joined(X.tokenize("text")).alias("tokens"))
+    return texts(spark, sf).select("doc_id", joined(X.tokenize("text")).alias("tokens"))
 
 
 @R.add(
@@ -39,7 +39,7 @@ def remove_stopwords(spark, sf):
     # The list is the caller's: one word more, one word less.
     custom = [w for w in X.ENGLISH_STOPWORDS if w != "few"] + ["que"]
     kept = X.remove_stopwords(X.tokenize("text"), custom)
-    return documents(spark, sf).select("doc_id", joined(kept).alias("kept"))
+    return texts(spark, sf).select("doc_id", joined(kept).alias("kept"))
 
 
 @R.add(
@@ -51,7 +51,7 @@ def remove_stopwords(spark, sf):
 def tokenize_and_clean(spark, sf):
     content = X.tokenize_and_clean("text")
     return (
-        documents(spark, sf)
+        texts(spark, sf)
         .select(
             "doc_id",
             content.alias("c"),
@@ -92,7 +92,7 @@ def preview_stages(spark, sf):
 def ngrams(spark, sf):
     grams = X.ngrams(X.tokenize_and_clean("text"), 1, 2)
     return (
-        documents(spark, sf)
+        texts(spark, sf)
         .select("doc_id", grams.alias("g"))
         .select(
             "doc_id",
@@ -108,7 +108,7 @@ def ngrams(spark, sf):
           {S.word_count('text')} AS token_estimate FROM documents""",
 )
 def text_lengths(spark, sf):
-    return documents(spark, sf).select("doc_id", *X.text_lengths("text"))
+    return texts(spark, sf).select("doc_id", *X.text_lengths("text"))
 
 
 @R.add(
@@ -118,7 +118,7 @@ def text_lengths(spark, sf):
 )
 def split_sentences(spark, sf):
     return (
-        documents(spark, sf)
+        texts(spark, sf)
         .select("doc_id", X.split_sentences("text").alias("s"))
         .select("doc_id", F.size("s").alias("n_sentences"), joined("s", "|").alias("sentences"))
     )
