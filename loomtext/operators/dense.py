@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import let, run_lengths, tokenize_and_clean
 from ..functions.vectors import as_double, dot, euclidean, l2_normalize, norm, verdict
-from .scale import hash_key, hash_rank, ordered_number, top_k, within_bound
+from .scale import BROADCAST_BYTES, hash_key, hash_rank, ordered_number, top_k, written
 
 DIM = 64
 _ROW_BLOCK = 1024  # query rows multiplied at once inside a task
@@ -226,11 +226,20 @@ def vector_topk(
     """
     q, c = _sides(queries, corpus, query_id, corpus_id, vector)
     if bounded is None:
-        bounded = within_bound(q, max_rows=50_000)
+        bounded = _fits(q)
     found = _scan_topk(q, c, k) if bounded else grid_topk(q, c, k)
     return _ranked(found, k, query_id, corpus_id)
 
 
+def _fits(q: DataFrame, max_rows: int = 50_000) -> bool:
+    """Whether all query vectors fit in one broadcast, judged by their count and length."""
+    n = q.select("_q").count()
+    if n > max_rows:
+        return False
+    longest = q.select(F.size("_v").alias("d")).first()
+    return not longest or n * max(longest["d"], 0) * 8 <= BROADCAST_BYTES
+
+
 def _ranked(found: DataFrame, k: int, query_id: str, corpus_id: str) -> DataFrame:
     return top_k(found, "_q", "similarity_score", "_c", k).select(
         F.col("_q").alias(query_id), F.col("_c").alias(corpus_id), "similarity_score", "rank"
@@ -394,13 +403,17 @@ def ivf_topk(
 ) -> DataFrame:
     """Top-k among the vectors of each query's n_probe nearest cells; all cells give exact search.
 
-    Rows meet by cell only; a hot cell is cut into slabs.
+    The corpus is written in one folder per cell, of which only the probed ones are read. Rows
+    meet by cell only; a hot cell is cut into slabs.
     """
     if centres is None:
         centres = fit_cells(corpus, n_cells, vector)
-    corpus_cells = nearest_cells(corpus, centres, 1, vector)
-    probes = nearest_cells(queries, centres, n_probe, vector)
-    q, c = _sides(probes, corpus_cells, query_id, corpus_id, vector, extra=["cell"])
+    stored = corpus.select(corpus_id, vector)
+    cells = written(nearest_cells(stored, centres, 1, vector), "cells", partition_by="cell")
+    probes = written(nearest_cells(queries, centres, n_probe, vector), "probes")
+    probed = [r[0] for r in probes.select("cell").distinct().collect()]  # at most n_cells
+    near = cells.filter(F.col("cell").isin(probed))
+    q, c = _sides(probes, near, query_id, corpus_id, vector, extra=["cell"])
     return _ranked(grid_topk(q, c, k, part="cell"), k, query_id, corpus_id)
 
 

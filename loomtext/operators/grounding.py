@@ -72,9 +72,8 @@ def retrieve_chunks(
     """Best chunks per query by inner product: ids travel through the ranking, text joins last."""
     asked = queries.select(query_id, F.col(query_text).alias("text"))
     vectors = encode(asked) if encode else embed_text(asked, dim=dim)
-    bounded = within_bound(asked, max_rows=50_000)
-    hits = vector_topk(vectors, index, top, query_id, key, "embedding", bounded)
-    side = F.broadcast(hits) if bounded else hits  # top rows per query
+    hits = vector_topk(vectors, index, top, query_id, key, "embedding")
+    side = F.broadcast(hits) if within_bound(asked) else hits  # top rows per query
     return index.drop("embedding").join(side, key)
 
 

@@ -38,14 +38,15 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Cuts the lineage, survives executor loss, and gives later joins true file sizes and cheap
     counts from the file footers.
     """
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -77,11 +78,8 @@ def _row_bytes(schema: T.StructType) -> Column:
 def within_bound(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure a frame (never reading more than ``max_rows`` + 1 rows) against both limits."""
-    probe = df.limit(max_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df.schema)).alias("b")
-    )
-    n, size = probe.first()
+    """Count and measure a stored table against both limits (one aggregate, no rows collected)."""
+    n, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df.schema))).first()
     return n <= max_rows and (size or 0) <= max_bytes
 
 

@@ -174,17 +174,15 @@ def vector_topk(spark, sf):
         FROM near WHERE rank <= 5""",
 )
 def ivf_all(spark, sf):
-    best = D.ivf_topk(
-        embedded_questions(spark, sf), embedded_documents(spark, sf), 5, n_cells=8, n_probe=8
-    )
+    index = written(embedded_documents(spark, sf), "vectors")
+    best = D.ivf_topk(embedded_questions(spark, sf), index, 5, n_cells=8, n_probe=8)
     return best.select("query_id", "doc_id", "rank", six("similarity_score"))
 
 
 @R.add("ivf_topk")
 def ivf(spark, sf):
-    best = D.ivf_topk(
-        embedded_questions(spark, sf), embedded_documents(spark, sf), 5, n_cells=8, n_probe=2
-    )
+    index = written(embedded_documents(spark, sf), "vectors")
+    best = D.ivf_topk(embedded_questions(spark, sf), index, 5, n_cells=8, n_probe=2)
     return best.select("query_id", "doc_id", "rank", six("similarity_score"))
 
 
