@@ -23,13 +23,9 @@ def stratified_split(
     still shared among tasks.
     """
     keyed = df.withColumn("_key", hash_key(seed, row_id))
-    placed = hash_rank(keyed, "_key", row_id, "_position", group=label)
-    sizes = df.groupBy(label).agg(F.round(F.count(F.lit(1)) * test_share).alias("_n_test"))
-    return (
-        placed.join(sizes, label)
-        .withColumn("is_test", F.col("_position") <= F.col("_n_test"))
-        .drop("_key", "_position", "_n_test")
-    )
+    placed = hash_rank(keyed, "_key", row_id, "_position", group=label, total="_n")
+    is_test = F.col("_position") <= F.round(F.col("_n") * test_share)
+    return placed.withColumn("is_test", is_test).drop("_key", "_position", "_n")
 
 
 @dataclass(frozen=True)

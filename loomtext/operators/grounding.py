@@ -25,7 +25,7 @@ from ..functions.constants import (
 from ..functions.text import excerpt, let, query_terms, split_sentences, word_overlap
 from .chunking import chunk_metadata, chunk_text
 from .dense import DIM, embed_text, vector_topk
-from .scale import within_bound, written
+from .scale import BROADCAST_ROWS, within_bound, written
 
 Generator = Callable[[str, str], str]
 
@@ -73,7 +73,8 @@ def retrieve_chunks(
     asked = queries.select(query_id, F.col(query_text).alias("text"))
     vectors = encode(asked) if encode else embed_text(asked, dim=dim)
     hits = vector_topk(vectors, index, top, query_id, key, "embedding")
-    side = F.broadcast(hits) if within_bound(asked) else hits  # top rows per query
+    few = within_bound(asked, max_rows=BROADCAST_ROWS // max(top, 1))
+    side = F.broadcast(hits) if few else hits
     return index.drop("embedding").join(side, key)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import run_lengths, tokenize_and_clean
 from .lexical import LexicalModel, count_words
-from .scale import lookup_join, spread, top_k, within_bound
+from .scale import BROADCAST_BYTES, lookup_join, spread, top_k, within_bound
 
 
 def bm25_topk(
@@ -24,18 +24,18 @@ def bm25_topk(
 ) -> DataFrame:
     """Best documents per query by BM25, summed over the distinct words of the query.
 
-    Lengths and counts come from the document's own row; only words that some query uses leave
-    the scan.
+    Lengths and counts come from the document's own row and the mean length from the fitted
+    vocabulary; only words that some query uses leave the scan.
     """
     texts = spread(docs.select(doc_id, text_col), doc_id)
     tokens = texts.select(doc_id, tokenize_and_clean(text_col, **options).alias("_t"))
-    lengths = tokens.agg(F.avg(F.size("_t")).alias("a")).scalar()
+    mean_length = model.idf.agg((F.sum("cf") / model.n_docs).alias("a")).scalar()
     terms = tokens.select(
         doc_id,
         F.size("_t").alias("_length"),
         F.inline_outer(run_lengths(F.col("_t"), "term", "tf")),
     )
-    bounded = within_bound(queries.select(query_id, text_col))
+    bounded = within_bound(queries.select(query_id, text_col), max_bytes=BROADCAST_BYTES // 4)
     words = count_words(queries, query_id, text_col, **options).select(query_id, "term")
     side = F.broadcast(words) if bounded else words
     rarity = F.log(1 + (F.lit(float(model.n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -48,7 +48,7 @@ def bm25_topk(
         weights=model.idf.select("term", F.col("df").alias("n_rows")),
         small_is_bounded=bounded,
     )
-    damped = F.col("tf") + k1 * (1 - b + b * F.col("_length") / lengths)
+    damped = F.col("tf") + k1 * (1 - b + b * F.col("_length") / mean_length)
     part = F.col("_rarity") * F.col("tf") * (k1 + 1) / damped
     scores = pairs.groupBy(query_id, doc_id).agg(F.sum(part).alias("bm25_score"))
     return top_k(scores, query_id, "bm25_score", doc_id, top)

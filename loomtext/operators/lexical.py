@@ -26,6 +26,8 @@ from ..functions.constants import (
 )
 from ..functions.text import let, ngrams, run_lengths, tokenize_and_clean
 from .scale import (
+    BROADCAST_BYTES,
+    BROADCAST_ROWS,
     lookup_join,
     ordered_number,
     salted_join,
@@ -49,14 +51,20 @@ def count_words(df: DataFrame, id_col: str, text_col: str, **options) -> DataFra
 
 
 def fit_idf(counts: DataFrame, n_docs: int) -> DataFrame:
-    """(term, df, idf) with idf = ln((1+N)/(1+df)) + 1; one row per (document, term) expected."""
+    """(term, df, cf, idf): documents and occurrences of a term, and idf = ln((1+N)/(1+df)) + 1.
+
+    Expects one row per (document, term); rows of a frequent term are folded before the shuffle.
+    """
     smooth = F.log(F.lit(1.0 + n_docs) / (F.col("df") + 1)) + 1
-    return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn("idf", smooth)
+    sizes = counts.groupBy("term").agg(
+        F.count(F.lit(1)).alias("df"), F.sum("tf").cast("long").alias("cf")
+    )
+    return sizes.withColumn("idf", smooth)
 
 
 @dataclass(frozen=True)
 class LexicalModel:
-    """Fitted corpus statistics: a written (term, df, idf) table and the corpus size."""
+    """Fitted corpus statistics: a written (term, df, cf, idf) table and the corpus size."""
 
     idf: DataFrame
     n_docs: int
@@ -123,7 +131,8 @@ def query_vectors(
 
     They are written once, as scoring and explaining read them several times.
     """
-    bounded = within_bound(queries.select(id_col, text_col))
+    texts = queries.select(id_col, text_col)
+    bounded = within_bound(texts, max_bytes=BROADCAST_BYTES // 4)  # words outweigh their text
     counts = count_words(queries, id_col, text_col, **options)
     vectors = written(tfidf_query(counts, model, id_col, bounded), "vectors")
     return vectors, within_bound(vectors)
@@ -230,11 +239,12 @@ def explain_hits(
     weights: DataFrame,
     vectors: DataFrame,
     vectors_bounded: bool = True,
+    best_bounded: bool = True,
     doc_id: str = "doc_id",
     query_id: str = "query_id",
 ) -> DataFrame:
     """Add the per-term parts of the score, for ranked hits only."""
-    side = F.broadcast(best) if vectors_bounded else best  # a few rows per query
+    side = F.broadcast(best) if best_bounded else best
     hits = weights.join(side, doc_id).select(*best.columns, F.inline_outer("hits"))
     asked = vectors.withColumnRenamed("weight", "query_weight")
     asked = F.broadcast(asked) if vectors_bounded else asked
@@ -291,7 +301,8 @@ def ranked_hits(
     by_doc = weights.repartition(doc_id)
     pairs = score_pairs(by_doc, vectors, model, bounded, doc_id, query_id)
     best = top_k(pairs, query_id, "cosine_score", doc_id, top)
-    return explain_hits(best, weights, vectors, bounded, doc_id, query_id)
+    few = queries.count() * top <= BROADCAST_ROWS
+    return explain_hits(best, weights, vectors, bounded, few, doc_id, query_id)
 
 
 def matched_keywords(contributions: Column) -> Column:

@@ -56,7 +56,7 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     Tables with at least as many files as cores are left as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    n_files = len(df.inputFiles())
+    n_files = len(df._jdf.inputFiles())  # the length only; the names stay in the JVM
     return df.repartition(cores, *keys) if 0 < n_files < cores else df
 
 
@@ -143,13 +143,18 @@ def hash_key(seed: int | str, c: Column | str) -> Column:
 
 
 def hash_rank(
-    df: DataFrame, key: str, tie: str, rank: str, group: str | None = None
+    df: DataFrame,
+    key: str,
+    tie: str,
+    rank: str,
+    group: str | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """Exact 1-based position by (md5 key, tie), overall or within each group.
 
     A plain row_number would put a whole table, or a hot group, into one task. Here rows are cut
     into 4096 even pieces by the leading hex digits of the key; rows are numbered inside a piece
-    and shifted by the sizes of the pieces before it.
+    and shifted by the sizes of the pieces before it. ``total`` adds the size of the group.
     """
     by = [group] if group else []
     pieces = df.withColumn("_piece", F.substring(F.col(key), 1, RANK_DIGITS))
@@ -158,8 +163,9 @@ def hash_rank(
     sizes = pieces.groupBy(*by, "_piece").agg(F.count(F.lit(1)).alias("_n"))
     # At most 16**RANK_DIGITS rows per group here.
     before = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    extra = [F.sum("_n").over(Window.partitionBy(*by)).alias(total)] if total else []
     shifts = sizes.select(
-        *by, "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift")
+        *by, "_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"), *extra
     )
     joined = numbered.join(shifts, [*by, "_piece"])
     return joined.withColumn(rank, F.col("_shift") + F.col("_inside")).drop(
@@ -167,38 +173,28 @@ def hash_rank(
     )
 
 
-def ordered_number(df: DataFrame, key: str, number: str, pieces: int = 256) -> DataFrame:
+_OFFSET_BITS = 33  # monotonically_increasing_id: task number above, row of the task below
+
+
+def ordered_number(df: DataFrame, key: str, number: str) -> DataFrame:
     """Exact 1-based position by a unique key, without one task seeing the whole table.
 
-    Cut points are read from a fixed-size hash sample, so rows fall into ranges of about equal
-    size; each range is numbered on its own and shifted by the ranges before it. Any cut points
-    give the same numbers.
+    The table is sorted in ranges and written with each row's task and place in it, which fixes
+    the ranges; a row's number is its place plus the rows of the ranges before.
     """
-    sample = (
-        df.select(key, F.md5(F.col(key).cast("string")).alias("_h"))
-        .orderBy("_h")
-        .limit(pieces * 16)
-        .select(key)
+    placed = df.orderBy(key).withColumn("_place", F.monotonically_increasing_id())
+    stored = written(placed, "numbered").withColumn(
+        "_range", F.shiftright("_place", _OFFSET_BITS)
     )
-    values = sorted(r[0] for r in sample.collect() if r[0] is not None)
-    step = max(1, len(values) // pieces)
-    cuts = values[step::step]
-    if cuts:
-        points = F.array(*[F.lit(v) for v in cuts])
-        piece = F.size(F.filter(points, lambda p: p <= F.col(key)))
-    else:
-        piece = F.lit(0)
-    cut = df.withColumn("_piece", piece)
-    inside = F.row_number().over(Window.partitionBy("_piece").orderBy(key))
-    numbered = cut.withColumn("_inside", inside)
-    sizes = cut.groupBy("_piece").agg(F.count(F.lit(1)).alias("_n"))
-    # At most pieces + 1 rows here.
-    before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select("_piece", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    sizes = stored.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per task of the sort from here on.
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    inside = F.col("_place").bitwiseAND(F.lit((1 << _OFFSET_BITS) - 1))
     return (
-        numbered.join(F.broadcast(shifts), "_piece")
-        .withColumn(number, F.col("_shift") + F.col("_inside"))
-        .drop("_piece", "_inside", "_shift")
+        stored.join(F.broadcast(shifts), "_range")
+        .withColumn(number, F.col("_shift") + inside + 1)
+        .drop("_range", "_place", "_shift")
     )
 
 

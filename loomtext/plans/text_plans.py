@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators.lexical import fit_lexical, search_topk
+from ..operators.scale import within_bound
 from . import sql as S
 from .tables import Registry, documents, questions, texts
 
@@ -140,7 +141,7 @@ def best_documents(spark, sf):
     best = search_topk(docs, asked, fit_lexical(docs), top=1, threshold=0.0)
     chosen = docs.select("doc_id", F.col("text").alias("doc_text"))
     pairs = best.select("query_id", "doc_id").join(asked, "query_id")
-    return chosen.join(F.broadcast(pairs), "doc_id")  # one row per question
+    return chosen.join(F.broadcast(pairs) if within_bound(asked) else pairs, "doc_id")
 
 
 BEST = f"""{S.search()},

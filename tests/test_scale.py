@@ -51,6 +51,8 @@ def test_hash_rank_equals_row_number(spark, skewed):
     ours = S.hash_rank(keyed, "h", "id", "r", group="key").select("id", "r")
     plain = keyed.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("h", "id")))
     assert ours.exceptAll(plain.select("id", F.col("r").cast("long"))).count() == 0
+    sized = S.hash_rank(keyed, "h", "id", "r", group="key", total="n").filter("key = 'hot'")
+    assert sized.select("n").distinct().collect()[0][0] == 2000
     whole = S.hash_rank(keyed, "h", "id", "r")
     assert sorted(r["r"] for r in whole.collect()) == list(range(1, 6001))
 
@@ -58,7 +60,7 @@ def test_hash_rank_equals_row_number(spark, skewed):
 @pytest.mark.parametrize("n", [0, 1, 1000])
 def test_ordered_number_equals_row_number(spark, n):
     df = spark.range(n).select((F.col("id") * 7 % 1009).alias("k"))
-    rows = S.ordered_number(df, "k", "n", pieces=8).orderBy("k").collect()
+    rows = S.ordered_number(df, "k", "n").orderBy("k").collect()
     assert [r["n"] for r in rows] == list(range(1, n + 1))
 
 
