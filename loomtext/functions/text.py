@@ -39,12 +39,22 @@ def clean_text(c: Column | str) -> Column:
     return F.regexp_replace(F.lower(col(c)), _NOT_WORD, " ")
 
 
+def _without(tokens: Column, unwanted: Iterable[str]) -> Column:
+    """Elements that are not in a word list.
+
+    The list goes in as SQL text, which becomes one hash set; building it word by word as columns
+    would cost the driver far more than the query plan itself.
+    """
+    escaped = (w.replace("\\", "\\\\").replace("'", "\\'") for w in unwanted)
+    listed = ", ".join(f"'{w}'" for w in escaped)
+    return F.call_function("filter", tokens, F.expr(f"w -> w NOT IN ({listed})"))
+
+
 def _words(c: Column | str, drop: Iterable[str]) -> Column:
     # Splitting on runs of non-word characters gives the same words as cleaning and then
     # splitting on blanks, in one regex pass over the text instead of two.
     lowered = F.regexp_replace(F.lower(col(c)), _FUSED_HEAD, "$0 ")
-    unwanted = ["", *drop]
-    kept = F.filter(F.split(lowered, "[^a-z0-9]+"), lambda w: ~w.isin(*unwanted))
+    kept = _without(F.split(lowered, "[^a-z0-9]+"), ["", *drop])
     return F.coalesce(kept, F.array().cast("array<string>"))
 
 
@@ -56,9 +66,7 @@ def tokenize(c: Column | str) -> Column:
 def remove_stopwords(tokens: Column | str, stopwords: Iterable[str] = ENGLISH_STOPWORDS) -> Column:
     """Drop stop words and keep repeats of everything else."""
     words = list(stopwords)
-    if not words:
-        return col(tokens)
-    return F.filter(col(tokens), lambda w: ~w.isin(*words))
+    return _without(col(tokens), words) if words else col(tokens)
 
 
 def tokenize_and_clean(
@@ -153,7 +161,7 @@ def word_set(c: Column | str) -> Column:
 
 def query_terms(c: Column | str, ignored: Iterable[str] = QUESTION_WORDS) -> Column:
     words = list(ignored)
-    return F.filter(word_set(c), lambda w: ~w.isin(*words)) if words else word_set(c)
+    return _without(word_set(c), words) if words else word_set(c)
 
 
 def word_overlap(terms: Column | str, sentence: Column | str) -> Column:

@@ -247,7 +247,7 @@ def highlight(spark, sf):
     """WITH r AS (SELECT vec_id, label, count(*) OVER (PARTITION BY label) AS n,
          row_number() OVER (PARTITION BY label ORDER BY md5('42:' || vec_id), vec_id) AS i
        FROM embeddings)
-       SELECT vec_id, label, i <= round(0.2 * n) AS is_test FROM r""",
+       SELECT vec_id, label::BIGINT AS label, i <= round(0.2 * n) AS is_test FROM r""",
 )
 def stratified_split(spark, sf):
     split = C.stratified_split(vectors(spark, sf), "label", "vec_id")

@@ -239,7 +239,7 @@ def shuffle(spark, sf):
     return P.seeded_shuffle(documents(spark, sf).select("doc_id"), "doc_id")
 
 
-@R.add("class_counts", "SELECT label, count(*) AS n_rows FROM embeddings GROUP BY 1")
+@R.add("class_counts", "SELECT label::BIGINT AS label, count(*) AS n_rows FROM embeddings GROUP BY 1")
 def class_counts(spark, sf):
     return P.class_counts(table(spark, sf, "embeddings"), "label")
 
