@@ -17,7 +17,7 @@ def read_records(
     fmt: str = "csv",
 ) -> DataFrame:
     """Typed rows of a CSV with header (quoted fields may hold commas and line breaks), JSON lines,
-    ORC or parquet; rows with a null required column are dropped."""
+    ORC or parquet; rows with a null required column are dropped. An empty CSV field is null."""
     reader = spark.read.schema(schema)
     if fmt == "csv":
         reader = reader.option("header", True).option("multiLine", True).option("escape", '"')

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 import duckdb
 
@@ -15,7 +16,9 @@ TABLES = (
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+        path = f"{sf_dir}/{name}.parquet"
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{files}'")
     return con
 
 
