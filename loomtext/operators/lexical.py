@@ -202,11 +202,35 @@ def asked_weights(
     )
 
     def unit(h: Column) -> Column:
-        return F.struct(h["term"].alias("term"), (h["doc_weight"] / F.col("_norm")).alias("doc_weight"))
+        weight = h["doc_weight"] / F.col("_norm")
+        return F.struct(h["term"].alias("term"), weight.alias("doc_weight"))
 
     return reduced.select(doc_id, F.transform("_hits", unit).alias("hits"))
 
 
+def store_postings(
+    docs: DataFrame,
+    model: LexicalModel,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    **options,
+) -> DataFrame:
+    """Unit postings of a corpus, written once for many searches."""
+    counts = count_words(docs, id_col, text_col, **options)
+    return written(tfidf_docs(counts, model, id_col), "postings")
+
+
+def _asked_postings(
+    postings: DataFrame, vectors: DataFrame, model: LexicalModel, bounded: bool, doc_id: str
+) -> DataFrame:
+    """The same (id, hits) as ``asked_weights``, from stored postings instead of texts."""
+    asked = vectors.select("term").distinct()
+    frequency = model.idf.select("term", F.col("df").alias("n_rows"))
+    kept = lookup_join(postings, asked, "term", doc_id, frequency, small_is_bounded=bounded)
+    hit = F.struct("term", F.col("weight").alias("doc_weight"))
+    return kept.groupBy(doc_id).agg(F.collect_list(hit).alias("hits"))
+
+
 def _parts(
     weights: DataFrame, vectors: DataFrame, model: LexicalModel, bounded: bool, doc_id: str
 ) -> DataFrame:
@@ -286,16 +310,22 @@ def ranked_hits(
     doc_id: str = "doc_id",
     query_id: str = "query_id",
     text_col: str = "text",
+    postings: DataFrame | None = None,
     **options,
 ) -> DataFrame:
     """The top documents per query with their per-term parts.
 
     The asked weights are written once: ranking reads them for all pairs, explaining for the few
-    hits, and the texts are passed over a single time.
+    hits, and the texts are passed over a single time. With ``postings`` from ``store_postings``
+    the texts are not read at all.
     """
     vectors, bounded = query_vectors(queries, model, query_id, text_col, **options)
-    counts = count_words(docs, doc_id, text_col, **options)
-    weights = written(asked_weights(counts, vectors, model, bounded, doc_id), "weights")
+    if postings is None:
+        counts = count_words(docs, doc_id, text_col, **options)
+        asked = asked_weights(counts, vectors, model, bounded, doc_id)
+    else:
+        asked = _asked_postings(postings, vectors, model, bounded, doc_id)
+    weights = written(asked, "weights")
     # Moving a document's few weights once lets its pairs be summed and cut to the best in place,
     # instead of shuffling every pair.
     by_doc = weights.repartition(doc_id)

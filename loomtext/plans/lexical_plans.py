@@ -138,6 +138,19 @@ def search_topk(spark, sf):
     return hits(spark, sf).select("query_id", "rank", "doc_id", six("cosine_score"))
 
 
+@R.add(
+    "search_stored_postings",
+    f"""{S.search()} SELECT query_id, rank, doc_id, round(score, 6) AS cosine_score
+        FROM ranked WHERE rank <= 3 AND round(score, 9) >= 0.1""",
+)
+def search_stored(spark, sf):
+    docs = documents(spark, sf)
+    fitted = L.fit_lexical(docs)
+    stored = L.store_postings(docs, fitted)
+    found = L.search_topk(docs, questions(spark, sf), fitted, postings=stored)
+    return found.select("query_id", "rank", "doc_id", six("cosine_score"))
+
+
 @R.add(
     "search_topk_flag",
     f"""{S.search()}, padded AS (

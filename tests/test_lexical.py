@@ -60,6 +60,11 @@ def test_unbounded_paths_give_the_same_scores(faq, ask, model):
     counts = L.count_words(faq, "doc_id", "text")
     large = L.LexicalModel(model.idf, model.n_docs, False)
 
+    stored = L.store_postings(faq, model)
+    found = [L._asked_postings(stored, vectors, model, b, "doc_id") for b in (True, False)]
+    hits = [{(r[0], h["term"]) for r in f.collect() for h in r["hits"]} for f in found]
+    assert hits[0] == hits[1] != set()
+
     def scores(m, bounded):
         weights = L.asked_weights(counts, vectors, m, bounded)
         rows = L.score_pairs(weights, vectors, m, bounded).collect()
@@ -68,6 +73,17 @@ def test_unbounded_paths_give_the_same_scores(faq, ask, model):
     assert scores(model, True) == scores(large, False) != {}
 
 
+def test_stored_postings_give_the_same_hits(faq, ask, model):
+    queries = ask("bursar fee deposit wire", "river bank", "unknown words")
+    stored = L.store_postings(faq, model)
+
+    def found(**options):
+        rows = L.search_topk(faq, queries, model, mode="flag", **options).collect()
+        return sorted((r["query_id"], r["rank"], r["doc_id"], round(r["cosine_score"], 9)) for r in rows)
+
+    assert found(postings=stored) == found()
+
+
 def test_filter_mode(faq, ask, model):
     rows = L.search_topk(faq, ask("bursar fee deposit wire"), model).orderBy("rank").collect()
     scores = [r["cosine_score"] for r in rows]
