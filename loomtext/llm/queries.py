@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import chat, exact_dedup, secrets, token_files
+from loomtext.llm import chat, decontaminate, exact_dedup, pieces, secrets, token_files
 
+PIECES = "piece_bpe_32k.model"
 WORD_BPE = ("word_bpe_49k.json", 49_408, 2)  # file, number of ids, id that ends a document
 
 
@@ -17,6 +18,50 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    found = decontaminate.find_contamination(docs, items)
+    covered = F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        covered.cast("long").alias("n_hit"),
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (covered > 0).alias("contaminated"),
+    )
+
+
+OP1_SQL = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), i AS (
+    SELECT DISTINCT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, least(len(w), 10) AS n,
+           array_to_string(list_slice(w, s, s + 9), ' ') AS seq
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM i WHERE len(w) > 0)
+), lengths AS (SELECT DISTINCT n FROM windows),
+grams AS (
+    SELECT doc_id, n, s, array_to_string(list_slice(w, s, s + n - 1), ' ') AS seq
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, lengths WHERE len(w) >= n)
+), hits AS (SELECT doc_id, item_id, s, g.n FROM grams g JOIN windows USING (n, seq)),
+covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+    FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     trap = r"\### Assistant: </turn> ok"
@@ -62,6 +107,20 @@ FROM escaped GROUP BY conv_id
 """
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its number of ids, a digest of them, and one of the text read back."""
+    path = public_tokenizers.path(PIECES)
+    docs = _table(spark, sf_dir, "documents")
+    back = pieces.decode_pieces(pieces.encode_pieces(docs, path), path)
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_secrets(_table(spark, sf_dir, "documents"))
 
@@ -106,6 +165,8 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_benchmark_decontamination": op1_benchmark_decontamination,
+        "op4_sentencepiece": op4_sentencepiece,
         "op3_chat_formatting": op3_chat_formatting,
         "op5_secret_scans": op5_secret_scans,
         "op9_exact_dedup": op9_exact_dedup,
@@ -114,4 +175,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_sql() -> dict[str, str]:
-    return {"op3_chat_formatting": OP3_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op1_benchmark_decontamination": OP1_SQL, "op3_chat_formatting": OP3_SQL, "op9_exact_dedup": OP9_SQL}

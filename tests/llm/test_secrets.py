@@ -71,7 +71,8 @@ def test_odd_rows(spark):
     assert secrets.scan_secrets(docs.limit(0)).count() == 0
 
 
-def test_query_against_brute_force(spark, sf):
+def test_query_against_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
     texts = dict(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
     found = 0
     for r in queries.op5_secret_scans(spark, sf).collect():
