@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import chat, decontaminate, exact_dedup, pieces, secrets, token_files
+from loomtext.llm import chat, decontaminate, exact_dedup, near_dedup, pieces, secrets, token_files, toxicity
 
 PIECES = "piece_bpe_32k.model"
 WORD_BPE = ("word_bpe_49k.json", 49_408, 2)  # file, number of ids, id that ends a document
@@ -62,6 +62,12 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     trap = r"\### Assistant: </turn> ok"
@@ -141,6 +147,35 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_components(_table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), grams AS (
+    SELECT DISTINCT doc_id, array_to_string(list_slice(w, s, s + 4), ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s FROM d WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+links AS (
+    SELECT p.a, p.b FROM (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+        FROM grams x JOIN grams y USING (g) WHERE x.doc_id <> y.doc_id GROUP BY 1, 2
+    ) p JOIN sizes s ON s.doc_id = p.a JOIN sizes t ON t.doc_id = p.b
+    WHERE 100 * common >= 75 * (s.n + t.n - common)
+), reach AS (
+    WITH RECURSIVE r(doc_id, c) AS (
+        SELECT doc_id, doc_id FROM documents
+        UNION SELECT l.b, r.c FROM r JOIN links l ON l.a = r.doc_id WHERE r.c < l.b
+    ) SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, c AS component_id, doc_id = c AS kept
+FROM d JOIN reach USING (doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(_table(spark, sf_dir, "documents"), keep="max")
 
@@ -166,13 +201,16 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_benchmark_decontamination": op1_benchmark_decontamination,
+        "op2_toxicity": op2_toxicity,
         "op4_sentencepiece": op4_sentencepiece,
         "op3_chat_formatting": op3_chat_formatting,
         "op5_secret_scans": op5_secret_scans,
+        "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_token_files": op10_token_files,
     }
 
 
 def all_sql() -> dict[str, str]:
-    return {"op1_benchmark_decontamination": OP1_SQL, "op3_chat_formatting": OP3_SQL, "op9_exact_dedup": OP9_SQL}
+    return {"op1_benchmark_decontamination": OP1_SQL, "op3_chat_formatting": OP3_SQL, "op8_minhash_near_dedup": OP8_SQL,
+        "op9_exact_dedup": OP9_SQL}
