@@ -25,8 +25,8 @@ from pyspark.sql.window import Window
 
 from loomtext.operators.scale import scratch_dir
 
-# Entries of a task's memory of encoded words; beyond that it starts afresh.
-WORDS_HELD = 300_000
+# Entries of a task's memories of encoded words and of their pieces; beyond that they start afresh.
+WORDS_HELD, PIECES_HELD = 500_000, 800_000
 
 _ENCODERS: dict[tuple, "WordEncoder"] = {}
 
@@ -95,7 +95,7 @@ class WordEncoder:
                     out[n] = packed
             if len(held) > WORDS_HELD:
                 held.clear()
-            if len(self.pieces) > WORDS_HELD:
+            if len(self.pieces) > PIECES_HELD:
                 self.pieces.clear()
         return b"".join(out)
 
