@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtext.llm import chat, decontaminate, exact_dedup, near_dedup, pieces, secrets, token_files, toxicity
+from loomtext.llm import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    line_dedup,
+    near_dedup,
+    pieces,
+    secrets,
+    substring_dedup,
+    token_files,
+    toxicity,
+)
 
 PIECES = "piece_bpe_32k.model"
 WORD_BPE = ("word_bpe_49k.json", 49_408, 2)  # file, number of ids, id that ends a document
@@ -147,6 +158,74 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, the lines taken out, and a digest of the text that is left."""
+    left = line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    return left.select(
+        "doc_id",
+        "n_lines",
+        "n_removed",
+        F.length(text).cast("long").alias("n_chars"),
+        F.sha2(text, 256).alias("text_sha256"),
+    )
+
+
+OP6_SQL = r"""
+WITH lines AS (
+    SELECT doc_id, i, l, CAST('0x' || substr(md5(l), 1, 7) AS BIGINT) AS h
+    FROM (SELECT doc_id, unnest(s) AS l, unnest(range(len(s))) AS i
+          FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents WHERE text IS NOT NULL))
+), ends AS (
+    SELECT *, (h * 31 + coalesce(lag(h) OVER (PARTITION BY doc_id ORDER BY i), 0) * 17) % 4 = 0 AS stop
+    FROM lines
+), numbered AS (
+    SELECT *, coalesce(sum(CAST(stop AS INT)) OVER (PARTITION BY doc_id ORDER BY i
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k FROM ends
+), chunks AS (
+    SELECT doc_id, k, min(i) AS at, count(*) AS n, string_agg(l, chr(10) ORDER BY i) AS body
+    FROM numbered GROUP BY doc_id, k
+), judged AS (
+    SELECT *, n >= 2 AND trim(translate(body, chr(10) || chr(9) || chr(13), '   ')) <> ''
+              AND row_number() OVER (PARTITION BY body, n >= 2 ORDER BY doc_id, k) > 1 AS gone FROM chunks
+), left_over AS (
+    SELECT doc_id, sum(n) AS n_lines, coalesce(sum(n) FILTER (gone), 0) AS n_removed,
+           coalesce(string_agg(body, chr(10) ORDER BY k) FILTER (NOT gone), '') AS body
+    FROM judged GROUP BY doc_id
+)
+SELECT doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(length(coalesce(body, '')) AS BIGINT) AS n_chars, sha256(coalesce(body, '')) AS text_sha256
+FROM documents LEFT JOIN left_over USING (doc_id)
+"""
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.dedup_substrings(_table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP7_SQL = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, s, array_to_string(list_slice(w, s, s + 19), ' ') AS seq
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20)
+), later AS (
+    SELECT doc_id, s FROM windows
+    QUALIFY row_number() OVER (PARTITION BY seq ORDER BY doc_id, s) > 1
+), gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM later),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS body, count(*) AS n
+    FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_components(_table(spark, sf_dir, "documents"))
 
@@ -205,6 +284,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_sentencepiece": op4_sentencepiece,
         "op3_chat_formatting": op3_chat_formatting,
         "op5_secret_scans": op5_secret_scans,
+        "op6_line_dedup": op6_line_dedup,
+        "op7_substring_dedup": op7_substring_dedup,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_token_files": op10_token_files,
@@ -212,5 +293,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_sql() -> dict[str, str]:
-    return {"op1_benchmark_decontamination": OP1_SQL, "op3_chat_formatting": OP3_SQL, "op8_minhash_near_dedup": OP8_SQL,
+    return {"op1_benchmark_decontamination": OP1_SQL, "op3_chat_formatting": OP3_SQL, "op6_line_dedup": OP6_SQL,
+        "op7_substring_dedup": OP7_SQL,
+        "op8_minhash_near_dedup": OP8_SQL,
         "op9_exact_dedup": OP9_SQL}
