@@ -8,7 +8,8 @@ pair at the threshold cannot all lack (prefix filtering), which misses nothing.
 
 Pairs are never spelled out within a bucket. Each round, a few members of every bucket (hubs) are
 compared with the others that are not in their component yet; then components are merged, buckets
-of one component are done, and the rest gets four times as many hubs.
+of one component are done, and the rest gets eight times as many hubs. Jaccard distance is a
+metric, so the distances to a bucket's first hub rule out most of the pairs that are left.
 """
 
 from __future__ import annotations
@@ -33,7 +34,9 @@ REGISTERS = HASHES * BUCKETS
 MANTISSA = 10
 # A linked pair's estimate is lower with a probability under 1e-12 (256 registers).
 LEAST_ESTIMATE = 0.55
-HUBS = 4  # times as many hubs in each round
+# Six standard deviations of an estimate at most.
+ERROR = 0.2
+HUBS = 8  # times as many hubs in each round
 
 _SEEDS = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 _ONE = np.uint64(1)
@@ -162,47 +165,58 @@ def _rarest(classes: DataFrame) -> DataFrame:
 
 
 def _compared(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) that are linked: by their shingles if stored, else by estimate, then by text."""
+    """Pairs (a, b) with ``linked`` and bounds of their distance ``low, high``.
+
+    Exact by their shingles where those are stored; else by estimate, and where that leaves the
+    pair open, exact by their texts.
+    """
     side = classes.select("rep", F.struct("n", "registers", "grams").alias("s"))
     sized = _lookup(_lookup(pairs, side, "a"), side, "b")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            verdicts = []
+            found = []
             for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                if 100 * min(a["n"], b["n"]) < THRESHOLD * max(a["n"], b["n"]):
-                    verdicts.append(0)
-                elif a["grams"] is not None and b["grams"] is not None:
+                share = min(a["n"], b["n"]) / max(a["n"], b["n"])
+                if a["grams"] is not None and b["grams"] is not None:
                     x, y = (np.frombuffer(s["grams"], dtype=np.uint64) for s in (a, b))
-                    verdicts.append(int(_linked(x, y)))
+                    found.append(_judged(x, y))
+                elif 100 * share < THRESHOLD - 1e-9:
+                    found.append((False, 1 - share, 1.0))
                 else:
                     x, y = (np.frombuffer(s["registers"], dtype="<u2") for s in (a, b))
-                    verdicts.append(2 if estimate(x, y, a["n"], b["n"]) >= LEAST_ESTIMATE else 0)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(verdicts, type=pa.int32())], names=["a", "b", "verdict"]
-            )
-
-    shape = sized.select("a", "b", "s_a", "s_b").mapInArrow(judge, "a long, b long, verdict int")
-    judged = written(shape.filter("verdict > 0"), "near-judged")
-    open_pairs = judged.filter("verdict = 2").select("a", "b")
+                    j = estimate(x, y, a["n"], b["n"])
+                    found.append((None if j >= LEAST_ESTIMATE else False, max(0.0, 1 - j - ERROR), min(1.0, 1 - j + ERROR)))
+            yield _verdicts(batch, found)
+
+    shape = "a long, b long, linked boolean, low double, high double"
+    judged = written(sized.select("a", "b", "s_a", "s_b").mapInArrow(judge, shape), "near-judged")
     words = texts.select("rep", F.col("text").alias("s"))
+    open_pairs = judged.filter("linked IS NULL").select("a", "b")
     with_texts = _lookup(_lookup(open_pairs, words, "b"), words, "a")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = (list(_row_sets(batch.column(c))) for c in (2, 3))
-            same = pa.array([_linked(x, y) for x, y in zip(left, right, strict=True)], type=pa.bool_())
-            yield batch.select(["a", "b"]).filter(same)
+            yield _verdicts(batch, [_judged(x, y) for x, y in zip(left, right, strict=True)])
 
-    verified = with_texts.select("a", "b", "s_a", "s_b").mapInArrow(verify, "a long, b long")
-    return judged.filter("verdict = 1").select("a", "b").union(verified)
+    verified = with_texts.select("a", "b", "s_a", "s_b").mapInArrow(verify, shape)
+    return judged.filter("linked IS NOT NULL").union(verified)
+
+
+def _verdicts(batch: pa.RecordBatch, found: list[tuple[bool | None, float, float]]) -> pa.RecordBatch:
+    kinds = (pa.bool_(), pa.float64(), pa.float64())
+    columns = [pa.array([f[i] for f in found], type=t) for i, t in enumerate(kinds)]
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0), batch.column(1), *columns], names=["a", "b", "linked", "low", "high"]
+    )
 
 
-def _linked(x: np.ndarray, y: np.ndarray) -> bool:
-    if 100 * min(len(x), len(y)) < THRESHOLD * max(len(x), len(y)):
-        return False
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return 100 * both >= THRESHOLD * (len(x) + len(y) - both)
+def _judged(x: np.ndarray, y: np.ndarray) -> tuple[bool, float, float]:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    union = len(x) + len(y) - common
+    distance = 1 - common / union
+    return 100 * common >= THRESHOLD * union, distance, distance
 
 
 def _row_sets(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -279,11 +293,12 @@ def _connect(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
     links = spark.createDataFrame([], "a long, b long")
     seen = spark.createDataFrame([], "a long, b long")  # pairs that have been compared
     found = spark.createDataFrame([], "node long, component long")
-    waiting = members  # members of a bucket that have not been its hub
+    # Members of a bucket that have not been its hub, and bounds of their distance to its first.
+    waiting = members.withColumns({"low": F.lit(0.0), "high": F.lit(1.0)})
     n_hubs = 1
     while True:
         home = waiting.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "key", "rep", F.coalesce("component", "rep").alias("c")
+            "key", "rep", F.coalesce("component", "rep").alias("c"), "low", "high"
         )
         home = written(home, "near-home")
         mixed = home.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x < y").select("key")
@@ -291,27 +306,32 @@ def _connect(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
         waiting = written(home.join(mixed, "key", "left_semi"), "near-waiting")
         if waiting.isEmpty():
             return found
-        if n_hubs == 1:
-            hubs = waiting.groupBy("key").agg(F.min("rep").alias("hub"))
-            hubs = hubs.join(waiting.select("key", F.col("rep").alias("hub"), F.col("c").alias("hub_c")), ["key", "hub"])
-        else:
-            order = Window.partitionBy("key").orderBy("rep")  # cut to n_hubs inside each task first
-            hubs = (
-                waiting.withColumn("_n", F.row_number().over(order))
-                .filter(F.col("_n") <= n_hubs)
-                .select("key", F.col("rep").alias("hub"), F.col("c").alias("hub_c"))
-            )
+        order = Window.partitionBy("key").orderBy("rep")  # cut to n_hubs inside each task first
+        hubs = (
+            waiting.withColumn("_n", F.row_number().over(order))
+            .filter(F.col("_n") <= n_hubs)
+            .select("key", *(F.col(x).alias(f"hub_{x}") for x in ("rep", "c", "low", "high")))
+        )
         hubs = written(hubs, "near-hubs")
-        met = waiting.join(hubs, "key").filter("rep <> hub AND c <> hub_c")
-        pairs = met.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-        pairs = written(pairs.join(seen, ["a", "b"], "left_anti"), "near-pairs")
-        new = written(_compared(pairs, classes, texts), "near-links")
+        limit = 1 - THRESHOLD / 100 + 1e-9
+        near = (F.col("hub_low") - F.col("high") <= limit) & (F.col("low") - F.col("hub_high") <= limit)
+        apart = (F.col("rep") != F.col("hub_rep")) & (F.col("c") != F.col("hub_c"))
+        met = waiting.join(hubs, "key").filter(apart & near)
+        end = (F.least("rep", "hub_rep").alias("a"), F.greatest("rep", "hub_rep").alias("b"))
+        pairs = written(met.select(*end).distinct().join(seen, ["a", "b"], "left_anti"), "near-pairs")
+        compared = written(_compared(pairs, classes, texts), "near-compared")
+        new = compared.filter("linked").select("a", "b")
         if not new.isEmpty():
             links = written(links.union(new), "near-all-links")
             found = written(components(links), "near-found")
         seen = written(seen.union(pairs), "near-seen")
-        used = hubs.select("key", F.col("hub").alias("rep"))
-        waiting = waiting.select("key", "rep").join(used, ["key", "rep"], "left_anti")
+        if n_hubs == 1:
+            first = waiting.select("key", "rep").join(hubs.select("key", "hub_rep"), "key").filter("rep <> hub_rep")
+            ended = first.select("key", "rep", *end).join(compared, ["a", "b"])
+            waiting = ended.select("key", "rep", "low", "high")
+        else:
+            used = hubs.select("key", F.col("hub_rep").alias("rep"))
+            waiting = waiting.select("key", "rep", "low", "high").join(used, ["key", "rep"], "left_anti")
         n_hubs *= HUBS
 
 
