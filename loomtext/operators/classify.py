@@ -45,8 +45,10 @@ def fit_intent(
 ) -> IntentModel:
     """Multinomial logistic regression with squared penalty of strength 1 / (c * rows).
 
-    Labels are encoded alphabetically; the label list is the number of classes long.
+    Labels are encoded alphabetically; the label list is the number of classes long. Rows without
+    a label or a vector are left out.
     """
+    train = train.filter(F.col(label).isNotNull() & F.col(vector).isNotNull())
     counts = train.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(label).collect()
     labels, n = [r[0] for r in counts], sum(r["n"] for r in counts)
     ids = F.create_map(*[x for i, l in enumerate(labels) for x in (F.lit(l), F.lit(float(i)))])

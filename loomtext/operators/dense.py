@@ -232,12 +232,9 @@ def vector_topk(
 
 
 def _fits(q: DataFrame, max_rows: int = 50_000) -> bool:
-    """Whether all query vectors fit in one broadcast, judged by their count and length."""
-    n = q.select("_q").count()
-    if n > max_rows:
-        return False
-    longest = q.select(F.size("_v").alias("d")).first()
-    return not longest or n * max(longest["d"], 0) * 8 <= BROADCAST_BYTES
+    """Whether all query vectors fit in one broadcast, by their count and all their values."""
+    n, values = q.agg(F.count(F.lit(1)), F.sum(F.size("_v"))).first()
+    return n <= max_rows and 8 * (values or 0) <= BROADCAST_BYTES
 
 
 def _ranked(found: DataFrame, k: int, query_id: str, corpus_id: str) -> DataFrame:

@@ -191,8 +191,8 @@ def generate_answers(
 ) -> DataFrame:
     """Answers of a plug-in generator(prompt, query), loaded once per task.
 
-    Refused rows never reach the generator. A failing call becomes a status of its row, never a
-    failing task.
+    Refused rows never reach the generator. A failing load or call becomes a status of its row,
+    never a failing task; the next row tries to load again.
     """
     schema = T.StructType(
         [
@@ -204,25 +204,26 @@ def generate_answers(
         ]
     )
 
-    def one(generator: Generator, text: str, question: str) -> tuple[str, str]:
+    def one(loaded: list[Generator], text: str, question: str) -> tuple[str, str]:
         try:
-            return str(generator(text, question)).strip(), STATUS_SUCCESS
+            if not loaded:
+                loaded.append(load())
+            return str(loaded[0](text, question)).strip(), STATUS_SUCCESS
         except GeneratorApiError as error:
             return f"[API Error]: {error} (Status code: {error.status_code})", STATUS_API_ERROR
         except Exception as error:
             return f"[Connection Error]: {error}", STATUS_CONNECTION_ERROR
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        generator = None
+        loaded: list[Generator] = []
         for batch in batches:
             rows = []
             for text, question, refused in zip(batch[prompt], batch[query], batch["is_refused"]):
                 if refused:
                     rows.append((REFUSAL_SENTINEL, STATUS_REFUSAL, 0.0, model))
                     continue
-                generator = generator or load()
                 started = time.perf_counter()
-                answer, status = one(generator, text, question)
+                answer, status = one(loaded, text, question)
                 spent = round((time.perf_counter() - started) * 1000.0, 2)
                 rows.append((answer, status, spent, model))
             columns = ["answer", "status", "latency_ms", "model_used"]

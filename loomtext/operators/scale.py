@@ -51,13 +51,12 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table of few files over the cores by its row key.
+    """Spread a table that is read by fewer tasks than there are cores, by its row key.
 
-    Tables with at least as many files as cores are left as they are.
+    Such a table is small: a larger one is cut into more tasks than that by its bytes.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    n_files = len(df._jdf.inputFiles())  # the length only; the names stay in the JVM
-    return df.repartition(cores, *keys) if 0 < n_files < cores else df
+    return df.repartition(cores, *keys) if 0 < df.rdd.getNumPartitions() < cores else df
 
 
 def _row_bytes(schema: T.StructType) -> Column:

@@ -275,16 +275,15 @@ def generate_answers(spark, sf):
               "query_id, answer FROM extracted)" for k in (1, 2, 5))
     + ", every AS (SELECT * FROM x1 UNION ALL SELECT * FROM x2 UNION ALL SELECT * FROM x5) "
     """SELECT e.query_id, e.k, e.answer, count(h.rank) AS n_retrieved,
-         coalesce(bool_or(contains(h.text, substr(b.text, 1, 40))), false) AS has_evidence
+         coalesce(bool_or(contains(h.text, b.text)), false) AS has_evidence
        FROM every e JOIN benchmark b ON b.item_id = e.query_id
        LEFT JOIN hits h ON h.query_id = e.query_id AND h.rank <= e.k GROUP BY 1, 2, 3""",
 )
 def topk_sweep(spark, sf):
-    evidence = F.substring("query", 1, 40)
-    return G.topk_sweep(asked_queries(spark, sf, top=5), (1, 2, 5), evidence)
+    return G.topk_sweep(asked_queries(spark, sf, top=5), (1, 2, 5), F.col("query"))
 
 
-RULE = "All dorm quiet hours begin at 6 PM."
+RULE = "The reading room closes at noon on Fridays."
 
 
 @R.add(

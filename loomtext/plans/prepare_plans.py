@@ -73,8 +73,7 @@ def with_full_text(spark, sf):
     return P.with_full_text(documents(spark, sf), ("source", "text")).select("doc_id", "full_text")
 
 
-# An empty CSV field counts as missing, so an empty text does not come back.
-@R.add("write_records", "SELECT doc_id, lang, source, text FROM documents WHERE text <> ''")
+@R.add("write_records", "SELECT doc_id, lang, source, text FROM documents WHERE text IS NOT NULL")
 def write_and_read(spark, sf):
     path = f"{scratch_dir(spark)}/records-{uuid.uuid4().hex}"
     columns = ["doc_id", "lang", "source", "text"]

@@ -8,6 +8,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+# Stands for null in CSV, so that empty texts stay empty; a text that is just this reads as null.
+CSV_NULL = "\\N"
+
 
 def read_records(
     spark: SparkSession,
@@ -15,12 +18,21 @@ def read_records(
     schema: T.StructType,
     required: Sequence[str],
     fmt: str = "csv",
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Typed rows of a CSV with header (quoted fields may hold commas and line breaks), JSON lines,
-    ORC or parquet; rows with a null required column are dropped. An empty CSV field is null."""
+    """Typed rows of a CSV with header (quoted fields may hold commas), JSON lines,
+    ORC or parquet; rows with a null required column are dropped. In CSV an empty field is null and
+    a quoted empty one an empty text. With ``multi_line`` quoted fields may hold line breaks,
+    but a CSV file is read by one task; without it, large files are split."""
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
+        reader = (
+            reader.option("header", True)
+            .option("multiLine", multi_line)
+            .option("escape", '"')
+            .option("nullValue", CSV_NULL)
+            .option("emptyValue", "")
+        )
     return reader.format(fmt).load(path).na.drop(subset=list(required))
 
 
@@ -58,6 +70,8 @@ def write_records(
             writer.option("header", True)
             .option("escape", '"')
             .option("quoteAll", True)
+            .option("nullValue", CSV_NULL)
+            .option("emptyValue", "")
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
         )

@@ -114,3 +114,11 @@ def test_full_text_of_nulls(spark):
     df = inline_records(spark, [("1", "c", "q", None)], schemas.FAQ)
     assert P.with_full_text(df).first()["full_text"] == "q "
     assert df.filter(F.col("answer").isNull()).count() == 1
+
+
+def test_csv_keeps_empty_texts_apart_from_nulls(spark, tmp_path):
+    rows = [(1, "", "a"), (2, None, "b"), (3, "x, \"y\"\nz", ""), (4, " ", None)]
+    df = spark.createDataFrame(rows, "id long, text string, lang string")
+    write_records(df, str(tmp_path / "t"), df.columns)
+    back = read_records(spark, str(tmp_path / "t"), df.schema, ["id"], multi_line=True)
+    assert sorted(map(tuple, back.collect())) == rows
