@@ -28,8 +28,8 @@ CUT = 16  # windows in a stretch on average
 
 
 def _anchors(w: Words, size: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each word: the place and hash of the least short window in the full one that starts
-    there, and whether the full one ends inside its row."""
+    """For each word: the place of the least short window in the full one that starts there, the
+    hash of the short window at the word itself, and whether the full one ends inside its row."""
     hashes, _ = w.windows(size)
     n = len(hashes)
     whole = w.at + window <= np.diff(w.bounds)[w.row]
@@ -40,7 +40,7 @@ def _anchors(w: Words, size: int, window: int) -> tuple[np.ndarray, np.ndarray,
         less = hashes[j:] < best[: n - j]
         best[: n - j][less] = hashes[j:][less]
         place[: n - j][less] = np.arange(j, n)[less]
-    return place, best, whole
+    return place, hashes, whole
 
 
 def _candidates(w: Words, seen: list | None, size: int, window: int) -> np.ndarray:
@@ -60,10 +60,12 @@ def _places(docs: DataFrame, size: int, before: int | None, window: int, counts:
         for batch in batches:
             seen = batch.column(3).to_pylist() if before else None
             for w in batch_words(batch.column(2), SPACED):
-                place, least, whole = _anchors(w, size, window)
+                place, hashes, whole = _anchors(w, size, window)
                 chosen = whole if before is None else _candidates(w, seen, before, window)
-                at, first = np.unique(place[chosen], return_index=True)
-                hashes = least[chosen][first]
+                marked = np.zeros(len(hashes), dtype=bool)
+                marked[place[chosen]] = True
+                at = np.flatnonzero(marked)
+                hashes = hashes[at]
                 if counts:
                     values, n = np.unique(hashes, return_counts=True)
                     columns = [pa.array(values.view(np.int64)), pa.array(n.astype(np.int64))]
@@ -197,18 +199,18 @@ def dedup_substrings(
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, removed, texts = [], [], []
-            spans = batch.column(2).to_pylist()
-            for w in batch_words(batch.column(1), SPACED):
-                for r in range(w.rows):
-                    a, b = int(w.bounds[r]), int(w.bounds[r + 1])
-                    edges = np.zeros(b - a + 1, dtype=np.int64)
-                    for s in spans[w.first + r] or ():
+            for text, spans in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
+                words = (text.as_py() or "").encode().split()  # bytes are split at ASCII white space
+                n = len(words)
+                if spans:
+                    edges = np.zeros(n + 1, dtype=np.int64)
+                    for s in spans:
                         edges[s["at"]] += 1
                         edges[s["at"] + s["n"] + window - 1] -= 1
-                    keep = np.flatnonzero(np.cumsum(edges[:-1]) == 0) + a
-                    counts.append(b - a)
-                    removed.append(b - a - len(keep))
-                    texts.append(b" ".join([w.data[w.start[i] : w.end[i]].tobytes() for i in keep]).decode())
+                    words = [words[i] for i in np.flatnonzero(np.cumsum(edges[:-1]) == 0).tolist()]
+                counts.append(n)
+                removed.append(n - len(words))
+                texts.append(b" ".join(words).decode())
             columns = [batch.column(0), pa.array(counts, type=pa.int64()), pa.array(removed, type=pa.int64()), pa.array(texts, type=pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "text"])
 
