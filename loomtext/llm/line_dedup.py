@@ -68,11 +68,21 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     fixed = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("mark"))
     rows = docs.select(F.struct(*docs.columns).alias("_row"), fixed.alias("_at"), F.col(text_col).alias("_text"))
     chunked = _chunked(rows, "_text")
+    # Texts of chunks are made before the rows are spread, so that no row carries all lines; an
+    # outer explode keeps Spark from filtering by the chunks beforehand, once per line.
+    spelled = F.transform(
+        "_chunks",
+        lambda c: F.struct(
+            c["k"].alias("k"),
+            (c["last"] - c["first"] + 1).alias("n"),
+            F.array_join(_between(c), "\n").alias("body"),
+        ),
+    )
     spoken = (
         chunked.filter("_at.id IS NOT NULL")
-        .select("_at", "_lines", F.explode("_chunks").alias("_chunk"))
-        .filter(F.col("_chunk.last") - F.col("_chunk.first") + 1 >= LEAST_LINES)
-        .select("_at", F.col("_chunk.k").alias("k"), F.array_join(_between(F.col("_chunk")), "\n").alias("_bytes"))
+        .select("_at", F.explode_outer(spelled).alias("_chunk"))
+        .filter(F.col("_chunk.n") >= LEAST_LINES)
+        .select("_at", F.col("_chunk.k").alias("k"), F.col("_chunk.body").alias("_bytes"))
         .filter(F.trim(F.translate("_bytes", "\n\t\r", "   ")) != "")
         .withColumn("_hash", F.unhex(F.md5("_bytes")))
     )
