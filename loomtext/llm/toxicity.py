@@ -57,7 +57,6 @@ class LexiconTrie:
         self.root: dict = {}
         self.starts: set[str] = set()
         self.ends: set[str] = set()
-        self.stems: set[str] = set()
         for term in terms:
             stem = term.endswith("*")
             word = term.removesuffix("*")
@@ -65,11 +64,12 @@ class LexiconTrie:
             for c in word:
                 node = node.setdefault(c, {})
             node["*" if stem else ""] = term
-            if stem:
-                self.stems.add(word)
-            elif len(word) >= FUZZY_FROM:
-                self.starts.add(word[:2])
-                self.ends.add(word[-2:])
+            if not stem and len(word) >= FUZZY_FROM:
+                half = len(word) // 2
+                self.starts.add(word[:half])
+                self.ends.add(word[half:])
+
+        self.start_sizes, self.end_sizes = ({len(x) for x in half} for half in (self.starts, self.ends))
 
     def find(self, word: str) -> dict[str, int]:
         """Terms within reach of a word, with their edits (0 or 1).
@@ -88,9 +88,9 @@ class LexiconTrie:
         else:
             if "" in node:
                 found[node[""]] = 0
-        # One edit leaves the first or the last two letters of a longer word as they are, or moves them by one.
-        if len(word) >= FUZZY_FROM - 1 and (
-            word[:2] in self.starts or word[-2:] in self.ends or word[1:3] in self.starts
+        # One edit leaves one half of a term as it is, at the same end of the word.
+        if any(word[:n] in self.starts for n in self.start_sizes) or any(
+            word[-n:] in self.ends for n in self.end_sizes
         ):
             self._walk(self.root, word, list(range(len(word) + 1)), 0, found)
         return found
