@@ -9,7 +9,9 @@ pair at the threshold cannot all lack (prefix filtering), which misses nothing.
 Pairs are never spelled out within a bucket. Each round, a few members of every bucket (hubs) are
 compared with the others that are not in their component yet; then components are merged, buckets
 of one component are done, and the rest gets eight times as many hubs. Jaccard distance is a
-metric, so the distances to a bucket's first hub rule out most of the pairs that are left.
+metric, so the distances to a bucket's first hub rule out most of the pairs that are left. Shingles
+that no other candidate has are in no intersection: the sizes of two sets and of their shared parts
+bound their Jaccard, which rules out pairs, and whole members of a bucket, before any comparison.
 """
 
 from __future__ import annotations
@@ -139,8 +141,8 @@ def _bands(classes: DataFrame) -> DataFrame:
     return classes.filter("registers IS NOT NULL").select("rep", "registers").mapInArrow(band, "key long, rep long")
 
 
-def _rarest(classes: DataFrame) -> DataFrame:
-    """Buckets of small sets: their rarest shingles, as many as no link can do without."""
+def _spelled(classes: DataFrame) -> DataFrame:
+    """The stored shingles of classes: ``key, rep``."""
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -150,7 +152,12 @@ def _rarest(classes: DataFrame) -> DataFrame:
             reps = np.repeat(batch.column(0).to_numpy(), sizes)
             yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(reps)], names=["key", "rep"])
 
-    small = classes.filter("grams IS NOT NULL").select("rep", "grams").mapInArrow(spell, "key long, rep long")
+    return classes.filter("grams IS NOT NULL").select("rep", "grams").mapInArrow(spell, "key long, rep long")
+
+
+def _rarest(classes: DataFrame) -> DataFrame:
+    """Buckets of small sets: their rarest shingles, as many as no link can do without."""
+    small = _spelled(classes)
     shared = written(small.groupBy("key").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "near-shingles")
     counted = small.join(shared, "key", "left").select("rep", F.struct(F.coalesce("df", F.lit(1)).alias("df"), "key").alias("g"))
     n = F.size("g")
@@ -164,6 +171,30 @@ def _rarest(classes: DataFrame) -> DataFrame:
     )
 
 
+def _shared_sizes(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Per class ``rep, n, s``: the size of its set and of the part that other classes have too.
+
+    Where rows repeat an id, the set is not known to be that of the text: ``s`` counts it whole.
+    """
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for w in batch_words(batch.column(1), SPACED_LOWER):
+                row, gram = _sets(w)
+                long = np.bincount(row, minlength=w.rows)[row] > BOTH
+                reps = batch.column(0).take(pa.array(w.first + row[long]))
+                yield pa.RecordBatch.from_arrays([pa.array(gram[long].view(np.int64)), reps], names=["key", "rep"])
+
+    spelled = texts.select("rep", "text").mapInArrow(spell, "key long, rep long").union(_spelled(classes))
+    alone = spelled.groupBy("key").agg(F.count(F.lit(1)).alias("df"), F.min("rep").alias("rep")).filter("df = 1")
+    own = alone.groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+    sizes = classes.groupBy("rep").agg(F.min("n").alias("n"), F.max("n").alias("s"), F.count(F.lit(1)).alias("sets"))
+    known = sizes.join(own, "rep", "left").join(texts.groupBy("rep").agg(F.count(F.lit(1)).alias("rows")), "rep", "left")
+    single = (F.col("sets") == 1) & (F.coalesce("rows", F.lit(1)) == 1)
+    shared = F.col("s") - F.when(single, F.coalesce("own", F.lit(0))).otherwise(F.lit(0))
+    return known.select("rep", F.col("n").cast("long").alias("n"), shared.cast("long").alias("s"))
+
+
 def _compared(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) with ``linked`` and bounds of their distance ``low, high``.
 
@@ -271,7 +302,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = written(
         _semi(rows.select(F.col("doc_id").alias("rep"), "text"), written(long_reps, "near-long"), "rep"), "near-texts"
     )
-    found = _connect(members, chosen, texts)
+    sizes = written(_shared_sizes(chosen, texts).filter(f"100 * s >= {THRESHOLD} * n"), "near-sizes")
+    sized = members.join(F.broadcast(sizes) if within_bound(sizes) else sizes, "rep")
+    found = _connect(sized.select("key", "rep", "n", "s"), chosen, texts)
     marked = classes.select("h1", "h2", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     marked = written(
         marked.select("h1", "h2", F.coalesce("component", "rep").alias("component_id")), "near-components"
@@ -295,28 +328,32 @@ def _connect(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
     found = spark.createDataFrame([], "node long, component long")
     # Members of a bucket that have not been its hub, and bounds of their distance to its first.
     waiting = members.withColumns({"low": F.lit(0.0), "high": F.lit(1.0)})
+    kept = ("key", "rep", "n", "s", "low", "high")
     n_hubs = 1
     while True:
         home = waiting.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "key", "rep", F.coalesce("component", "rep").alias("c"), "low", "high"
+            *kept, F.coalesce("component", "rep").alias("c")
         )
         home = written(home, "near-home")
-        mixed = home.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x < y").select("key")
-        mixed = written(mixed, "near-mixed")
-        waiting = written(home.join(mixed, "key", "left_semi"), "near-waiting")
+        mixed = home.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.min("n").alias("least"))
+        mixed = written(mixed.filter("x < y").select("key", "least"), "near-mixed")
+        room = _may_link(F.col("s"), F.col("n") + F.col("least"))
+        waiting = written(home.join(mixed, "key").filter(room).drop("least"), "near-waiting")
         if waiting.isEmpty():
             return found
-        order = Window.partitionBy("key").orderBy("rep")  # cut to n_hubs inside each task first
+        # The text that others have most of comes first; cut to n_hubs inside each task.
+        order = Window.partitionBy("key").orderBy((F.col("n") - F.col("s")) / F.col("n"), "rep")
         hubs = (
             waiting.withColumn("_n", F.row_number().over(order))
             .filter(F.col("_n") <= n_hubs)
-            .select("key", *(F.col(x).alias(f"hub_{x}") for x in ("rep", "c", "low", "high")))
+            .select("key", *(F.col(x).alias(f"hub_{x}") for x in ("rep", "c", "n", "s", "low", "high")))
         )
         hubs = written(hubs, "near-hubs")
         limit = 1 - THRESHOLD / 100 + 1e-9
         near = (F.col("hub_low") - F.col("high") <= limit) & (F.col("low") - F.col("hub_high") <= limit)
         apart = (F.col("rep") != F.col("hub_rep")) & (F.col("c") != F.col("hub_c"))
-        met = waiting.join(hubs, "key").filter(apart & near)
+        common, both = F.least("s", "hub_s"), F.col("n") + F.col("hub_n")
+        met = waiting.join(hubs, "key").filter(apart & near & _may_link(common, both))
         end = (F.least("rep", "hub_rep").alias("a"), F.greatest("rep", "hub_rep").alias("b"))
         pairs = written(met.select(*end).distinct().join(seen, ["a", "b"], "left_anti"), "near-pairs")
         compared = written(_compared(pairs, classes, texts), "near-compared")
@@ -325,16 +362,23 @@ def _connect(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
             links = written(links.union(new), "near-all-links")
             found = written(components(links), "near-found")
         seen = written(seen.union(pairs), "near-seen")
-        if n_hubs == 1:
-            first = waiting.select("key", "rep").join(hubs.select("key", "hub_rep"), "key").filter("rep <> hub_rep")
-            ended = first.select("key", "rep", *end).join(compared, ["a", "b"])
-            waiting = ended.select("key", "rep", "low", "high")
+        if n_hubs == 1:  # pairs that were ruled out are at least as far apart as their sizes say
+            first = waiting.drop("low", "high").join(hubs, "key").filter("rep <> hub_rep")
+            ended = first.select("key", "rep", "n", "s", *end, (1 - common / (both - common)).alias("least"))
+            ended = ended.join(compared, ["a", "b"], "left")
+            far, wide = F.coalesce("low", "least").alias("low"), F.coalesce("high", F.lit(1.0)).alias("high")
+            waiting = ended.select("key", "rep", "n", "s", far, wide)
         else:
             used = hubs.select("key", F.col("hub_rep").alias("rep"))
-            waiting = waiting.select("key", "rep", "low", "high").join(used, ["key", "rep"], "left_anti")
+            waiting = waiting.select(*kept).join(used, ["key", "rep"], "left_anti")
         n_hubs *= HUBS
 
 
+def _may_link(common: F.Column, both: F.Column) -> F.Column:
+    """Whether so large an intersection reaches the threshold, given the sum of the set sizes."""
+    return (100 + THRESHOLD) * common >= THRESHOLD * both
+
+
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each group (the smallest id), with all columns; null ids stay."""
     found = near_components(docs)
