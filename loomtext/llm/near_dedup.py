@@ -12,6 +12,7 @@ of one component are done, and the rest gets eight times as many hubs. Jaccard d
 metric, so the distances to a bucket's first hub rule out most of the pairs that are left. Shingles
 that no other candidate has are in no intersection: the sizes of two sets and of their shared parts
 bound their Jaccard, which rules out pairs, and whole members of a bucket, before any comparison.
+The first hub cuts each set in two, and both parts bound their share of an intersection.
 """
 
 from __future__ import annotations
@@ -326,9 +327,12 @@ def _connect(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
     links = spark.createDataFrame([], "a long, b long")
     seen = spark.createDataFrame([], "a long, b long")  # pairs that have been compared
     found = spark.createDataFrame([], "node long, component long")
-    # Members of a bucket that have not been its hub, and bounds of their distance to its first.
-    waiting = members.withColumns({"low": F.lit(0.0), "high": F.lit(1.0)})
-    kept = ("key", "rep", "n", "s", "low", "high")
+    # Members of a bucket that have not been its hub, bounds of their distance to its first, and the
+    # most that they have in common with it (top) and with others apart from it (rest).
+    waiting = members.withColumns(
+        {"low": F.lit(0.0), "high": F.lit(1.0), "top": F.col("s").cast("double"), "rest": F.lit(0.0)}
+    )
+    kept = ("key", "rep", "n", "s", "low", "high", "top", "rest")
     n_hubs = 1
     while True:
         home = waiting.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -346,14 +350,15 @@ def _connect(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
         hubs = (
             waiting.withColumn("_n", F.row_number().over(order))
             .filter(F.col("_n") <= n_hubs)
-            .select("key", *(F.col(x).alias(f"hub_{x}") for x in ("rep", "c", "n", "s", "low", "high")))
+            .select("key", *(F.col(x).alias(f"hub_{x}") for x in ("rep", "c", *kept[2:])))
         )
         hubs = written(hubs, "near-hubs")
         limit = 1 - THRESHOLD / 100 + 1e-9
         near = (F.col("hub_low") - F.col("high") <= limit) & (F.col("low") - F.col("hub_high") <= limit)
         apart = (F.col("rep") != F.col("hub_rep")) & (F.col("c") != F.col("hub_c"))
         common, both = F.least("s", "hub_s"), F.col("n") + F.col("hub_n")
-        met = waiting.join(hubs, "key").filter(apart & near & _may_link(common, both))
+        parts = F.least("top", "hub_top") + F.least("rest", "hub_rest")
+        met = waiting.join(hubs, "key").filter(apart & near & _may_link(F.least(common, parts), both))
         end = (F.least("rep", "hub_rep").alias("a"), F.greatest("rep", "hub_rep").alias("b"))
         pairs = written(met.select(*end).distinct().join(seen, ["a", "b"], "left_anti"), "near-pairs")
         compared = written(_compared(pairs, classes, texts), "near-compared")
@@ -363,17 +368,28 @@ def _connect(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
             found = written(components(links), "near-found")
         seen = written(seen.union(pairs), "near-seen")
         if n_hubs == 1:  # pairs that were ruled out are at least as far apart as their sizes say
-            first = waiting.drop("low", "high").join(hubs, "key").filter("rep <> hub_rep")
-            ended = first.select("key", "rep", "n", "s", *end, (1 - common / (both - common)).alias("least"))
-            ended = ended.join(compared, ["a", "b"], "left")
-            far, wide = F.coalesce("low", "least").alias("low"), F.coalesce("high", F.lit(1.0)).alias("high")
-            waiting = ended.select("key", "rep", "n", "s", far, wide)
+            first = waiting.select("key", "rep", "n", "s").join(hubs, "key").filter("rep <> hub_rep")
+            least = F.greatest(F.lit(0.0), 1 - common / (both - common)).alias("least")
+            # Where rows repeat an id, n is the least size of its sets and s the largest.
+            largest = (F.greatest("n", "s") + F.greatest("hub_n", "hub_s")).alias("largest")
+            ended = first.select("key", "rep", "n", "s", *end, least, both.alias("both"), largest)
+            ended = ended.join(compared, ["a", "b"], "left").withColumns(
+                {"low": F.coalesce("low", "least"), "high": F.coalesce("high", F.lit(1.0))}
+            )
+            top = F.least(F.col("s"), _common("low", "largest") + 1e-6)
+            rest = F.greatest(F.lit(0.0), F.col("s") - _common("high", "both") + 1e-6)
+            waiting = ended.withColumns({"top": top, "rest": rest}).select(*kept)
         else:
             used = hubs.select("key", F.col("hub_rep").alias("rep"))
             waiting = waiting.select(*kept).join(used, ["key", "rep"], "left_anti")
         n_hubs *= HUBS
 
 
+def _common(distance: str, both: str) -> F.Column:
+    """The size of an intersection, from the distance and the sum of the set sizes."""
+    return F.col(both) * (1 - F.col(distance)) / (2 - F.col(distance))
+
+
 def _may_link(common: F.Column, both: F.Column) -> F.Column:
     """Whether so large an intersection reaches the threshold, given the sum of the set sizes."""
     return (100 + THRESHOLD) * common >= THRESHOLD * both

@@ -67,6 +67,16 @@ def test_against_all_pairs(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [r[0] for r in got if r[3]]
 
 
+def test_copies_that_are_not_linked(spark):
+    pick = random.Random(4)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(i, " ".join(edited(pick, base, 1 + i % 7))) for i in range(150)]
+    # Passages of their own that several edited copies share, so that the hub lacks them.
+    rows += [(200 + i, rows[i % 12][1].replace(f"b{60 + i % 5} ", f"x{i % 3} ")) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, near_dedup.near_components(docs).collect())) == by_hand(rows)
+
+
 def test_odd_rows(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "A b c d e f"), (None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
