@@ -11,16 +11,23 @@ from __future__ import annotations
 
 import math
 import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
-# Entries of a task's memories; beyond that they start afresh. Longer stretches are not remembered.
+# Entries of a memory before it becomes the older one, which is looked up but not added to; longer
+# stretches are not remembered.
 HELD, LONGEST_HELD = 400_000, 40
 
+START = -1  # stands before the first piece
+LITTLE = sys.byteorder == "little" and array("i").itemsize == 4
+
 _MODELS: dict[str, "PieceModel"] = {}
 
 
@@ -49,8 +56,19 @@ class PieceModel:
         # If spaces stand only at the start of pieces, and line ends in none, no piece crosses them.
         self.cuts = all(SPACE not in p.lstrip(SPACE) and "\n" not in p for p in longer)
         self.stretches = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+").findall
-        self.fits: dict[tuple[str, str], bool] = {}
+        # No merge joins two characters that are neighbours in no piece.
+        self.inside = {p[i : i + 2] for p in longer for i in range(len(p) - 1)}
+        # Pieces go by number: their id, or for characters outside the vocabulary their code above all ids.
+        self.beyond = n
+        self.sizes = [len(t) for t in self.text]
+        self.ending = ahocorasick.Automaton()  # at each place the pieces that end there, the longest first
+        for piece, i in self.ids.items():
+            self.ending.add_word(piece, (i, len(piece)))
+        self.ending.make_automaton()
+        self.fits: dict[int, bool] = {}
+        self.older_fits: dict[int, bool] = {}
         self.packed: dict[str, bytes] = {}
+        self.older_packed: dict[str, bytes] = {}
         self.made: dict[str, tuple[str, str] | None] = {p: ("", "") for p in self.ids if len(p) == 1}
         # What an id adds to a text by itself; None where it depends on its neighbours.
         self.shown: list[str | None] = [p.replace(SPACE, " ") for p in self.text]
@@ -86,13 +104,27 @@ class PieceModel:
 
     def pair_fits(self, before: str, piece: str) -> bool:
         """Whether the two pieces are the encoding of their text ("" stands for the start)."""
-        known = self.fits.get((before, piece))
+        return self.numbers_fit(self.number(before) if before else START, self.number(piece))
+
+    def numbers_fit(self, before: int, piece: int) -> bool:
+        pair = before << 32 | piece
+        known = self.fits.get(pair)
         if known is None:
+            known = self.older_fits.get(pair)
+            if known is None:
+                known = self._fits("" if before == START else self.piece(before), self.piece(piece))
             if len(self.fits) > HELD:
-                self.fits.clear()
-            known = self.fits[before, piece] = self._fits(before, piece)
+                self.older_fits, self.fits = self.fits, {}
+            self.fits[pair] = known
         return known
 
+    def number(self, piece: str) -> int:
+        known = self.ids.get(piece)
+        return self.beyond + ord(piece) if known is None else known
+
+    def piece(self, number: int) -> str:
+        return self.text[number] if number < self.beyond else chr(number - self.beyond)
+
     def _fits(self, left: str, right: str) -> bool:
         """Undo the merges of both pieces, the latest first, and look for one across the border
         that would have come before the undone one (or at the same score, further left)."""
@@ -135,26 +167,33 @@ class PieceModel:
         parts = self.stretches(text)
         out = [held.get(p) for p in parts]
         if None in out:
-            for n, packed in enumerate(out):
-                if packed is None:
-                    part = parts[n]
-                    packed = held.get(part)
-                    if packed is None:
-                        packed = self._stretch(part)
-                        if len(part) <= LONGEST_HELD:
-                            held[part] = packed
-                    out[n] = packed
+            out = [self._part(p) if packed is None else packed for p, packed in zip(parts, out, strict=True)]
             if len(held) > HELD:
-                held.clear()
+                self.older_packed, self.packed = held, {}
         return b"".join(out)
 
+    def _part(self, part: str) -> bytes:
+        packed = self.packed.get(part)
+        if packed is not None:
+            return packed
+        packed = self.older_packed.get(part)
+        if packed is None:
+            inside = self.inside
+            cuts = [i for i, (a, b) in enumerate(zip(part, part[1:]), 1) if a + b not in inside]
+            if cuts:
+                packed = b"".join([self._part(part[a:b]) for a, b in zip([0, *cuts], [*cuts, len(part)], strict=True)])
+            else:
+                packed = self._stretch(part)
+        if len(part) <= LONGEST_HELD:
+            self.packed[part] = packed
+        return packed
+
     def _stretch(self, text: str) -> bytes:
         stream = PieceStream(self)
-        pieces = stream.feed(text) + stream.finish()
-        ids = [self.ids[p] if p in self.ids else None for p in pieces]
-        if None in ids:
-            ids = [i for p in pieces for i in self.piece_ids(p)]
-        return np.asarray(ids, dtype="<i4").tobytes()
+        numbers = stream.push(text) + stream.rest()
+        if max(numbers) >= self.beyond:
+            numbers = [i for n in numbers for i in ([n] if n < self.beyond else self.piece_ids(self.piece(n)))]
+        return array("i", numbers).tobytes() if LITTLE else np.asarray(numbers, dtype="<i4").tobytes()
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of a sequence of ids, without the space that encoding puts in front."""
@@ -186,70 +225,87 @@ class PieceStream:
     """Encodes a text that arrives in parts; ``feed`` and ``finish`` return the final pieces.
 
     The window holds the text since the last common boundary. Positions are counted from there;
-    ``last[i]`` is the last piece of the one path that reaches position i.
+    ``last[i]`` is the number of the last piece of the one path that reaches position i.
     """
 
     def __init__(self, model: PieceModel):
         self.model = model
         self.window = ""
-        self.last: list[str] = [""]
-        self.before = ""  # the piece before the window
+        self.last: list[int] = [START]  # at the window's start: the piece before it
 
     def feed(self, text: str) -> list[str]:
+        return [self.model.piece(n) for n in self.push(text)]
+
+    def finish(self) -> list[str]:
+        """The pieces that are left; the stream is empty afterwards."""
+        return [self.model.piece(n) for n in self.rest()]
+
+    def push(self, text: str) -> list[int]:
         step, out = 8 * self.model.longest, []
+        if len(text) <= step:
+            self._advance(text)
+            return self._commit() if len(self.window) > step else out
         for at in range(0, len(text), step):
             self._advance(text[at : at + step])
             if len(self.window) > step:
                 out += self._commit()
         return out
 
+    def rest(self) -> list[int]:
+        numbers = self._path(len(self.window))
+        self.window, self.last = "", [START]
+        return numbers
+
     def _advance(self, text: str) -> None:
-        model, vocabulary, fits = self.model, self.model.ids, self.model.fits
-        first = len(self.last)
+        model, last = self.model, self.last
+        fits, settled = model.fits.get, len(last)
+        start = max(0, settled - model.longest)  # no piece that ends at an open position begins earlier
         self.window += text
-        window, last = self.window, self.last
-        for i in range(first, len(window) + 1):
-            for size in range(min(i, model.longest), 0, -1):
-                piece = window[i - size : i]
-                if size == 1 or piece in vocabulary:
-                    before = last[i - size] if i > size else self.before
-                    fit = fits.get((before, piece))
-                    if fit or fit is None and model.pair_fits(before, piece):
-                        last.append(piece)
-                        break
-            else:
-                raise ValueError("the vocabulary's merges give a prefix no encoding")
-
-    def _path(self, end: int) -> list[str]:
-        pieces = []
+        for at, (piece, size) in model.ending.iter(self.window, start):
+            if at + 1 < settled:
+                continue
+            while settled <= at:
+                self._alone(settled)
+                settled += 1
+            before = last[settled - size]
+            fit = fits(before << 32 | piece)
+            if fit or fit is None and model.numbers_fit(before, piece):
+                last.append(piece)
+                settled += 1
+        for i in range(settled, len(self.window) + 1):
+            self._alone(i)
+
+    def _alone(self, end: int) -> None:
+        """The last piece of a path to where no piece of the vocabulary fits: a character outside it."""
+        number = self.model.number(self.window[end - 1])
+        if number < self.model.beyond or not self.model.numbers_fit(self.last[end - 1], number):
+            raise ValueError("the vocabulary's merges give a prefix no encoding")
+        self.last.append(number)
+
+    def _path(self, end: int) -> list[int]:
+        numbers, last, sizes, beyond = [], self.last, self.model.sizes, self.model.beyond
         while end:
-            pieces.append(self.last[end])
-            end -= len(self.last[end])
-        return pieces[::-1]
+            number = last[end]
+            numbers.append(number)
+            end -= sizes[number] if number < beyond else 1
+        return numbers[::-1]
 
-    def _commit(self) -> list[str]:
+    def _commit(self) -> list[int]:
         """Hand over the pieces before the last boundary that all surviving paths share."""
-        end = len(self.window)
+        end, sizes, beyond = len(self.window), self.model.sizes, self.model.beyond
         shared: set[int] | None = None
         for i in range(max(1, end - self.model.longest + 1), end + 1):
             bounds, at = set(), i
             while at:
                 bounds.add(at)
-                at -= len(self.last[at])
+                at -= sizes[self.last[at]] if self.last[at] < beyond else 1
             shared = bounds if shared is None else shared & bounds
             if not shared:
                 return []
         cut = max(shared)
-        pieces = self._path(cut)
-        self.window, self.before = self.window[cut:], pieces[-1]
-        self.last = ["", *self.last[cut + 1 :]]
-        return pieces
-
-    def finish(self) -> list[str]:
-        """The pieces that are left; the stream is empty afterwards."""
-        pieces = self._path(len(self.window))
-        self.window, self.last, self.before = "", [""], ""
-        return pieces
+        numbers = self._path(cut)
+        self.window, self.last = self.window[cut:], self.last[cut:]
+        return numbers
 
 
 def _model(path: str) -> PieceModel:
