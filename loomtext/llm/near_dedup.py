@@ -324,7 +324,6 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def _connect(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Components of the linked classes: ``node, component``."""
     spark = members.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
     seen = spark.createDataFrame([], "a long, b long")  # pairs that have been compared
     found = spark.createDataFrame([], "node long, component long")
     # Members of a bucket that have not been its hub, bounds of their distance to its first, and the
@@ -364,8 +363,8 @@ def _connect(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
         compared = written(_compared(pairs, classes, texts), "near-compared")
         new = compared.filter("linked").select("a", "b")
         if not new.isEmpty():
-            links = written(links.union(new), "near-all-links")
-            found = written(components(links), "near-found")
+            stars = found.filter("node <> component").select("component", "node")
+            found = written(components(stars.union(new)), "near-found")
         seen = written(seen.union(pairs), "near-seen")
         if n_hubs == 1:  # pairs that were ruled out are at least as far apart as their sizes say
             first = waiting.select("key", "rep", "n", "s").join(hubs, "key").filter("rep <> hub_rep")
