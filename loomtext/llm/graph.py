@@ -28,15 +28,21 @@ def _done(links: DataFrame) -> bool:
     return ends.groupBy("node").agg((F.max("above") + F.sum("below")).alias("n")).filter("n > 1").isEmpty()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """Every linked node with the smallest node of its component: ``node, component``.
+def hung(links: DataFrame) -> DataFrame:
+    """Every linked node but the smallest of its component, which it hangs on: ``node, component``.
 
     ``links``: two columns a < b. Alternating large and small stars, a logarithmic number of
     rounds, until the links are stars; a node with very many links is folded by partial aggregates
     and by Spark's splitting of skewed joins. Every round is written to the shared folder, so no
-    lineage grows.
+    lineage grows; so is the result.
     """
     links = written(links.toDF("a", "b").distinct(), "links")
     while not _done(links):
         links = _stars(links)
-    return links.select(F.col("b").alias("node"), F.col("a").alias("component")).union(links.select("a", "a").distinct())
+    return links.select(F.col("b").alias("node"), F.col("a").alias("component"))
+
+
+def components(links: DataFrame) -> DataFrame:
+    """Every linked node with the smallest node of its component: ``node, component``."""
+    found = hung(links)
+    return found.union(found.select("component", "component").distinct())

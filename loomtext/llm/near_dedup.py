@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomtext.llm.graph import components
+from loomtext.llm.graph import hung
 from loomtext.llm.words import SPACED_LOWER, Words, batch_words, mix
 from loomtext.operators.scale import within_bound, written
 
@@ -322,7 +322,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _connect(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """Components of the linked classes: ``node, component``."""
+    """Components of the linked classes: ``node, component``, without the smallest nodes."""
     spark = members.sparkSession
     seen = spark.createDataFrame([], "a long, b long")  # pairs that have been compared
     found = spark.createDataFrame([], "node long, component long")
@@ -339,7 +339,7 @@ def _connect(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
         )
         home = written(home, "near-home")
         mixed = home.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.min("n").alias("least"))
-        mixed = written(mixed.filter("x < y").select("key", "least"), "near-mixed")
+        mixed = mixed.filter("x < y").select("key", "least")
         room = _may_link(F.col("s"), F.col("n") + F.col("least"))
         waiting = written(home.join(mixed, "key").filter(room).drop("least"), "near-waiting")
         if waiting.isEmpty():
@@ -363,8 +363,7 @@ def _connect(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
         compared = written(_compared(pairs, classes, texts), "near-compared")
         new = compared.filter("linked").select("a", "b")
         if not new.isEmpty():
-            stars = found.filter("node <> component").select("component", "node")
-            found = written(components(stars.union(new)), "near-found")
+            found = hung(found.select("component", "node").union(new))
         seen = written(seen.union(pairs), "near-seen")
         if n_hubs == 1:  # pairs that were ruled out are at least as far apart as their sizes say
             first = waiting.select("key", "rep", "n", "s").join(hubs, "key").filter("rep <> hub_rep")
