@@ -172,14 +172,25 @@ def _best(q: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
 
 
 def _scan_block(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int):
-    """Best k rows of one block of vectors for each query, ties at the cut kept for the merge."""
-    found = []
+    """Best k rows of one block of vectors for each query, of ties at the cut the smallest ids."""
+    found, places = [], None
     for lo in range(0, len(queries), _ROW_BLOCK):
         scores = queries[lo : lo + _ROW_BLOCK] @ vectors.T
         rounded = np.round(scores, 9)
         if scores.shape[1] > k:
-            cut = np.partition(rounded, -k, axis=1)[:, -k]
-            q, i = np.nonzero(rounded >= cut[:, None])
+            cut = np.partition(rounded, -k, axis=1)[:, -k, None]
+            kept = rounded >= cut
+            crowded = np.flatnonzero(np.count_nonzero(kept, axis=1) > k)
+            if len(crowded):
+                if places is None:
+                    places = np.argsort(ids, kind="stable")
+                ordered = rounded[crowded][:, places]
+                above, tied = ordered > cut[crowded], ordered == cut[crowded]
+                room = k - np.count_nonzero(above, axis=1)
+                few = np.empty_like(above)
+                few[:, places] = above | (tied & (np.cumsum(tied, axis=1, dtype=np.int32) <= room[:, None]))
+                kept[crowded] = few
+            q, i = np.nonzero(kept)
         else:
             q, i = (a.ravel() for a in np.indices(scores.shape))
         found.append(_best(q + lo, ids[i], scores[q, i], k))

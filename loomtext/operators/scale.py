@@ -18,8 +18,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 # hot keys whatever the data, and each hot key is cut into parts of at most 1/HOT_KEYS of the rows.
 HOT_KEYS = 10_000
 
-# Hash-ordered numbering cuts rows into 16**RANK_DIGITS even pieces per group.
-RANK_DIGITS = 3
+# Hash-ordered numbering cuts rows into 16**RANK_DIGITS even pieces per group at least, and into
+# more where those would exceed PIECE_ROWS.
+RANK_DIGITS, PIECE_ROWS = 3, 1_000_000
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -152,15 +153,18 @@ def hash_rank(
     """Exact 1-based position by (md5 key, tie), overall or within each group.
 
     A plain row_number would put a whole table, or a hot group, into one task. Here rows are cut
-    into 4096 even pieces by the leading hex digits of the key; rows are numbered inside a piece
-    and shifted by the sizes of the pieces before it. ``total`` adds the size of the group.
+    into even pieces of bounded size by the leading hex digits of the key; rows are numbered inside
+    a piece and shifted by the sizes of the pieces before it. ``total`` adds the size of the group.
     """
     by = [group] if group else []
-    pieces = df.withColumn("_piece", F.substring(F.col(key), 1, RANK_DIGITS))
+    digits, rows = RANK_DIGITS, df.count()
+    while 16**digits * PIECE_ROWS < rows:
+        digits += 1
+    pieces = df.withColumn("_piece", F.substring(F.col(key), 1, digits))
     inside = Window.partitionBy(*by, "_piece").orderBy(key, tie)
     numbered = pieces.withColumn("_inside", F.row_number().over(inside))
     sizes = pieces.groupBy(*by, "_piece").agg(F.count(F.lit(1)).alias("_n"))
-    # At most 16**RANK_DIGITS rows per group here.
+    # At most 16**digits rows per group here.
     before = Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     extra = [F.sum("_n").over(Window.partitionBy(*by)).alias(total)] if total else []
     shifts = sizes.select(

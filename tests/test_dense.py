@@ -164,3 +164,13 @@ def test_tokens_reach_the_encoder(spark):
 
     assert [list(r["embedding"]) for r in D.embed_with(df, load).collect()] == [[3.0, 1.0], [0.0, 1.0]]
     assert df.select(F.size(tokenize_and_clean("text"))).count() == 2
+
+
+def test_ties_at_the_cut_keep_the_smallest_ids():
+    from loomtext.operators.dense import _scan_block
+
+    ids, vectors = np.arange(100)[::-1].copy(), np.ones((100, 2))
+    vectors[:2] = 2.0
+    q, found, scores = _scan_block(np.array([[1.0, 0.0], [0.0, 0.0]]), ids, vectors, 4)
+    assert [sorted(found[q == n].tolist()) for n in (0, 1)] == [[0, 1, 98, 99], [0, 1, 2, 3]]
+    assert len(scores) == 8

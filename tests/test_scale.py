@@ -46,7 +46,9 @@ def test_within_bound(spark):
     assert S.within_bound(df.limit(0))
 
 
-def test_hash_rank_equals_row_number(spark, skewed):
+@pytest.mark.parametrize("piece_rows", [1, 1_000_000])
+def test_hash_rank_equals_row_number(spark, skewed, monkeypatch, piece_rows):
+    monkeypatch.setattr(S, "PIECE_ROWS", piece_rows)
     keyed = skewed.withColumn("h", S.hash_key(7, "id"))
     ours = S.hash_rank(keyed, "h", "id", "r", group="key").select("id", "r")
     plain = keyed.withColumn("r", F.row_number().over(Window.partitionBy("key").orderBy("h", "id")))
