@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -31,6 +31,8 @@ LEAST_G2, LEAST_LOG_ODDS, STEM = 15.0, 3.5, (4, 5, 6)
 # words that copies of one text share add nothing once its telling words are in.
 COVER, HELPS = 4, 0.2
 FUZZY_FROM, FUZZY_WEIGHT = 5, 0.6  # edits are allowed in words of so many letters
+# A stem is open to edits unless clean texts hold more words than this that are one edit from it.
+NEAR_STEM = 3
 AROUND, QUOTED = 6, 0.25  # words on each side that are looked at; what is left of a quotation
 REPORTING = frozenset("said says quote quoted quotes word term called wrote sagte dit dijo".split())
 OPENING, CLOSING = "\"'“„«‘‚(", "\"'”“»’)"
@@ -51,12 +53,19 @@ def _terms(text: str) -> set[str]:
 
 
 class LexiconTrie:
-    """Terms in a trie; ``term*`` matches every word that it opens."""
+    """Terms in a trie; ``term*`` matches every word that it opens, within one edit if it is long.
 
-    def __init__(self, terms: Iterable[str]):
+    Terms in ``closed`` match without an edit only.
+    """
+
+    def __init__(self, terms: Iterable[str], closed: frozenset[str] = frozenset()):
+        self.closed = closed
         self.root: dict = {}
-        self.starts: set[str] = set()
-        self.ends: set[str] = set()
+        # What one edit leaves of a term: the half at one end of a word of about its length, and
+        # of a stem its first half or, at most one place off, its second.
+        self.starts: defaultdict[int, set[str]] = defaultdict(set)
+        self.ends: defaultdict[int, set[str]] = defaultdict(set)
+        self.parts: defaultdict[tuple[int, int], set[str]] = defaultdict(set)
         for term in terms:
             stem = term.endswith("*")
             word = term.removesuffix("*")
@@ -64,12 +73,29 @@ class LexiconTrie:
             for c in word:
                 node = node.setdefault(c, {})
             node["*" if stem else ""] = term
-            if not stem and len(word) >= FUZZY_FROM:
-                half = len(word) // 2
-                self.starts.add(word[:half])
-                self.ends.add(word[half:])
-
-        self.start_sizes, self.end_sizes = ({len(x) for x in half} for half in (self.starts, self.ends))
+            if len(word) < FUZZY_FROM or term in closed:
+                continue
+            half = len(word) // 2
+            if stem:
+                self.parts[0, half].add(word[:half])
+                for at in (half - 1, half, half + 1):
+                    self.parts[at, at + len(word) - half].add(word[half:])
+            else:
+                for n in (len(word) - 1, len(word), len(word) + 1):
+                    self.starts[n].add(word[:half])
+                    self.ends[n].add(word[half:])
+        self.halves = {
+            n: ({len(x) for x in self.starts[n]}, {len(x) for x in self.ends[n]}) for n in self.starts
+        }
+
+    def _near(self, word: str) -> bool:
+        """Whether half a term stands where one edit leaves it."""
+        n = len(word)
+        if n in self.halves:
+            starts, ends = self.halves[n]
+            if any(word[:k] in self.starts[n] for k in starts) or any(word[-k:] in self.ends[n] for k in ends):
+                return True
+        return any(word[a:b] in parts for (a, b), parts in self.parts.items())
 
     def find(self, word: str) -> dict[str, int]:
         """Terms within reach of a word, with their edits (0 or 1).
@@ -88,10 +114,7 @@ class LexiconTrie:
         else:
             if "" in node:
                 found[node[""]] = 0
-        # One edit leaves one half of a term as it is, at the same end of the word.
-        if any(word[:n] in self.starts for n in self.start_sizes) or any(
-            word[-n:] in self.ends for n in self.end_sizes
-        ):
+        if self._near(word):
             self._walk(self.root, word, list(range(len(word) + 1)), 0, found)
         return found
 
@@ -106,15 +129,22 @@ class LexiconTrie:
                 continue
             if "" in below and depth + 1 >= FUZZY_FROM and new[-1] <= 1:
                 found.setdefault(below[""], new[-1])
+            if "*" in below and depth + 1 >= FUZZY_FROM and below["*"] not in self.closed:  # some prefix of the word is within one edit
+                found.setdefault(below["*"], min(new))
             self._walk(below, word, new, depth + 1, found)
 
 
 class Matcher(dict):
-    """A word's weight and term, remembered; None for words without a match."""
+    """A word's weight and term, remembered; None for words without a match.
 
-    def __init__(self, weights: dict[str, float]):
+    Words in ``closed`` are no misspellings of a term, and stems in it have none.
+    """
+
+    def __init__(self, weights: dict[str, float], closed: frozenset[str] = frozenset()):
         super().__init__()
-        self.weights, self.trie = weights, LexiconTrie(weights)
+        self.weights, self.closed, self.trie = weights, closed, LexiconTrie(weights, closed)
+        # A word under a stem of the lexicon counts as that stem, so one abuse stays one term.
+        self.names = {t: next((t[:n] + "*" for n in STEM if t[:n] + "*" in weights), t) for t in weights}
 
     def __missing__(self, word: str) -> tuple[float, str] | None:
         if len(self) > WORDS_HELD:
@@ -123,8 +153,11 @@ class Matcher(dict):
         for part in _CUT.split(word):
             if part:
                 for term, edits in self.trie.find(part).items():
+                    if edits and part in self.closed:
+                        continue
                     weight = self.weights[term] * (FUZZY_WEIGHT if edits else 1.0)
-                    best = max(best or (weight, term), (weight, term))
+                    hit = weight, self.names[term]
+                    best = max(best or hit, hit)
         self[word] = best
         return best
 
@@ -176,12 +209,40 @@ def _sample(docs: DataFrame, labels: DataFrame, fit_rows: int) -> DataFrame:
     return written(once.select("text", "toxic"), "toxicity-sample")
 
 
-def _learn_lexicon(sample: DataFrame) -> dict[str, float]:
-    """Weights of the terms that separate toxic from clean texts and are not each other's shadow."""
+def _near_words(sample: DataFrame, terms: list[str]) -> dict[str, set[str]]:
+    """By term: the words of clean texts that are one edit from it."""
+    trie = LexiconTrie(terms)
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[str]] = {}
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                for w in {w for w in _CUT.split(text.lower()) if w} - known.keys():
+                    known[w] = [t for t, edits in trie.find(w).items() if edits]
+        pairs = [(t, w) for w, found in known.items() for t in found]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p[i] for p in pairs], type=pa.string()) for i in (0, 1)], names=["term", "word"]
+        )
+
+    pairs = sample.filter("toxic = 0").select("text").mapInArrow(near, "term string, word string").distinct()
+    found: dict[str, set[str]] = {t: set() for t in terms}
+    for r in pairs.collect():  # the sample is bounded
+        found[r["term"]].add(r["word"])
+    return found
+
+
+def _learn_lexicon(sample: DataFrame) -> tuple[dict[str, float], frozenset[str]]:
+    """Weights of the terms that separate toxic from clean texts and are not each other's shadow.
+
+    Whole words and longer stems under a stem that is taken add no texts to it, but they can be
+    found with an edit, which a short stem cannot; so they are kept beside it. The second value is
+    what is closed to edits: stems that come near many words of clean texts, and the words of clean
+    texts that come near the rest of those terms.
+    """
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     if not n_toxic or not n_clean:
-        return {}
+        return {}, frozenset()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: tuple[Counter, Counter] = (Counter(), Counter())
@@ -219,25 +280,32 @@ def _learn_lexicon(sample: DataFrame) -> dict[str, float]:
         for t in _terms(text) & wanted:
             texts[t].append(i)
     covered = [0] * len(toxic_texts)
-    lexicon = {}
+    lexicon: dict[str, float] = {}
+    beside: dict[str, float] = {}
     for term, weight in ranked:
-        if any(term[:n] + "*" in lexicon for n in STEM) or any(
-            taken.startswith(term.removesuffix("*")) for taken in lexicon if term.endswith("*")
-        ):
+        if any(term[:n] + "*" in lexicon for n in STEM):
+            if len(term.removesuffix("*")) >= FUZZY_FROM:
+                beside[term] = weight
+            continue
+        if term.endswith("*") and any(taken.startswith(term.removesuffix("*")) for taken in lexicon):
             continue  # the same words as a term that is in
         short = sum(covered[i] < COVER for i in texts[term])
         if short >= max(2, HELPS * len(texts[term])):
             lexicon[term] = weight
             for i in texts[term]:
                 covered[i] += 1
-    return lexicon
+    judged = [t for t in (*lexicon, *beside) if t in beside or (t.endswith("*") and len(t) > FUZZY_FROM)]
+    near = _near_words(sample, judged) if judged else {}
+    loose = {t for t, words in near.items() if t.endswith("*") and len(words) > NEAR_STEM}
+    plain = {w for t, words in near.items() if t not in loose for w in words}
+    return lexicon | {t: w for t, w in beside.items() if t not in loose}, frozenset(plain | loose)
 
 
 class ToxicityModel:
-    """Term weights, and the logistic model's weights over ``features`` with its constant last."""
+    """Term weights, the logistic model's over ``features`` with its constant last, what takes no edits."""
 
-    def __init__(self, lexicon: dict[str, float], coefficients: list[float]):
-        self.lexicon, self.coefficients = lexicon, np.asarray(coefficients)
+    def __init__(self, lexicon: dict[str, float], coefficients: list[float], closed: frozenset[str] = frozenset()):
+        self.lexicon, self.closed, self.coefficients = lexicon, closed, np.asarray(coefficients)
 
     def score(self, text: str, matcher: Matcher) -> float:
         z = float(np.dot(self.coefficients[:-1], features(text, matcher)) + self.coefficients[-1])
@@ -252,14 +320,14 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -
     Without labels of both classes every text scores 0.5 less than a thousandth, or the class seen.
     """
     sample = _sample(docs.select("doc_id", "text"), labels.select("doc_id", "toxic"), fit_rows)
-    lexicon = _learn_lexicon(sample)
+    lexicon, closed = _learn_lexicon(sample)
     if not lexicon:
         share = sample.agg(F.avg("toxic")).first()[0]
         share = min(max(share if share is not None else 0.499, 1e-3), 0.999)
         return ToxicityModel({}, [0.0] * FEATURES + [math.log(share / (1 - share))])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(lexicon)
+        matcher = Matcher(lexicon, closed)
         for batch in batches:
             rows = [features(t, matcher) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -271,7 +339,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -
     fitted = LogisticRegression(regParam=1e-4, maxIter=50, standardization=True).fit(
         rows.select(array_to_vector("x").alias("features"), "label")
     )
-    return ToxicityModel(lexicon, [*fitted.coefficients.toArray().tolist(), fitted.intercept])
+    return ToxicityModel(lexicon, [*fitted.coefficients.toArray().tolist(), fitted.intercept], closed)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, carry: bool = False) -> DataFrame:
@@ -289,7 +357,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, carry: bool = False) -
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a bounded lexicon
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(shared.value.lexicon)
+        matcher = Matcher(shared.value.lexicon, shared.value.closed)
         for batch in batches:
             scores = [shared.value.score(t.as_py() or "", matcher) for t in batch.column("text")]
             columns = [*(batch.column(c) for c in kept), pa.array(scores, type=pa.float64())]

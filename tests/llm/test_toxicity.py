@@ -60,3 +60,31 @@ def test_query_on_held_out_rows(spark):
     held = [(labels[r.doc_id], r.predicted) for r in got if r.held_out and r.doc_id in labels]
     assert not any(p for y, p in held if y == 0)
     assert sum(p for y, p in held if y == 1) >= 0.6 * sum(y for y, _ in held)
+
+
+def test_misspelled_words_of_a_taken_stem_are_found(spark):
+    # Every toxic text has a word and its stems equally often, so a stem is taken first.
+    terms = ["idiot", "trash", "moron", "pathetic", "worthless"]
+    plain = ["oron", "worthy", "worth", "forth", "worthing", "orthly", "path", "table", "river", "green"]
+    said = "the {} of {} is here today".format
+    rows = [(i, said(terms[i % 5], terms[(i + 1) % 5]) + f" {i}", 1) for i in range(200)]
+    rows += [(1000 + i, said(plain[i % 10], plain[(i + 3) % 10]) + f" {i}", 0) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    model = toxicity.fit_toxicity(docs, docs)
+    misspelled = ["ldiot", "tr4sh", "mron", "pethetic", "w0rthless", "worthles", "ldiotic"]
+    texts = [(i, said(w, w)) for i, w in enumerate(misspelled)]
+    texts += [(50 + i, said(w, w)) for i, w in enumerate(plain)]
+    got = toxicity.score_toxicity(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()
+    assert {r.doc_id for r in got if r.predicted} == set(range(len(misspelled)))
+
+
+def test_stems_within_one_edit():
+    trie = toxicity.LexiconTrie(["idiot*", "pathet*", "trash*", "scum*"], frozenset(["trash*"]))
+    letters = "idotpahexü"
+    for stem in ("idiot", "pathet"):
+        near = {stem[:i] + c + stem[i + k :] for i in range(len(stem) + 1) for c in ["", *letters] for k in (0, 1)}
+        for word in {n + end for n in near for end in ("", "s", "ically")}:
+            least = min(edits(word[:n], stem) for n in range(len(word) + 1))
+            assert trie.find(word) == {f"{stem}*": least}, word
+    assert trie.find("trashes") == {"trash*": 0} and trie.find("tr4shes") == {}
+    assert trie.find("scums") == {"scum*": 0} and trie.find("scvms") == {}
