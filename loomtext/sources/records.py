@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Stands for null in CSV, so that empty texts stay empty; a text that is just this reads as null.
+# Stands for null in CSV, so that empty texts stay empty. A text that is just this, or this behind
+# more backslashes, is written with one more and read with one less.
 CSV_NULL = "\\N"
+_MARK_LIKE, _ESCAPED_MARK = r"^\\+N\z", r"^\\{2,}N\z"
+
+
+def _strings(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    """Changes every column of strings."""
+    columns = [(F.col(f"`{f.name.replace('`', '``')}`"), f) for f in df.schema.fields]
+    return df.select(*(change(c).alias(f.name) if isinstance(f.dataType, T.StringType) else c for c, f in columns))
 
 
 def read_records(
@@ -22,7 +31,7 @@ def read_records(
 ) -> DataFrame:
     """Typed rows of a CSV with header (quoted fields may hold commas), JSON lines,
     ORC or parquet; rows with a null required column are dropped. In CSV an empty field is null and
-    a quoted empty one an empty text. With ``multi_line`` quoted fields may hold line breaks,
+    a quoted empty one an empty text; ``\\N`` is null and ``\\\\N`` the text ``\\N``. With ``multi_line`` quoted fields may hold line breaks,
     but a CSV file is read by one task; without it, large files are split."""
     reader = spark.read.schema(schema)
     if fmt == "csv":
@@ -33,7 +42,10 @@ def read_records(
             .option("nullValue", CSV_NULL)
             .option("emptyValue", "")
         )
-    return reader.format(fmt).load(path).na.drop(subset=list(required))
+    rows = reader.format(fmt).load(path)
+    if fmt == "csv":
+        rows = _strings(rows, lambda c: F.when(c.rlike(_ESCAPED_MARK), c.substr(F.lit(2), F.length(c))).otherwise(c))
+    return rows.na.drop(subset=list(required))
 
 
 def inline_records(
@@ -64,7 +76,10 @@ def write_records(
     df: DataFrame, path: str, columns: Sequence[str], fmt: str = "csv", mode: str = "error"
 ) -> None:
     """Write the columns in this order; CSV gets a header and quotes that read back exactly."""
-    writer = df.select(*columns).write.mode(mode)
+    rows = df.select(*columns)
+    if fmt == "csv":
+        rows = _strings(rows, lambda c: F.when(c.rlike(_MARK_LIKE), F.concat(F.lit("\\"), c)).otherwise(c))
+    writer = rows.write.mode(mode)
     if fmt == "csv":
         writer = (
             writer.option("header", True)

@@ -122,3 +122,15 @@ def test_csv_keeps_empty_texts_apart_from_nulls(spark, tmp_path):
     write_records(df, str(tmp_path / "t"), df.columns)
     back = read_records(spark, str(tmp_path / "t"), df.schema, ["id"], multi_line=True)
     assert sorted(map(tuple, back.collect())) == rows
+
+
+def test_csv_keeps_texts_like_the_null_mark(spark, tmp_path):
+    texts = ["\\N", "\\\\N", "\\\\\\N", "N", "\\", "\\N\n", "a\\N", "\\n", "", None]
+    rows = [(i, t, "x") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "id long, text string, lang string")
+    write_records(df, str(tmp_path / "t"), ["id", "text", "lang"])
+    schema = "id long, text string, lang string"
+    back = read_records(spark, str(tmp_path / "t"), spark.createDataFrame([], schema).schema, ["id"])
+    assert sorted(map(tuple, back.collect())) == rows
+    required = read_records(spark, str(tmp_path / "t"), back.schema, ["text"])
+    assert required.count() == len(rows) - 1
