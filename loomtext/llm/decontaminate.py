@@ -48,7 +48,7 @@ def _item_windows(items: DataFrame, item_id: str, text: str, window: int) -> Dat
 
     rows = items.select(
         items[item_id].cast("string").alias("item_id"), items[text].cast("string").alias("text")
-    ).filter("item_id IS NOT NULL")
+    )
     return rows.mapInArrow(cut, "item_id string, words binary").distinct()
 
 
@@ -72,7 +72,9 @@ class _Windows:
     def __init__(self, rows: list[Row]):
         items: dict[bytes, list[str]] = defaultdict(list)
         for r in rows:
-            items[bytes(r["words"])].append(r["item_id"])
+            named = items[bytes(r["words"])]  # an item without an id has windows too
+            if r["item_id"] is not None:
+                named.append(r["item_id"])
         self.words = sorted(items)
         self.items = [sorted(items[w]) for w in self.words]
         texts = pa.array([w.decode() for w in self.words], type=pa.string())
@@ -207,8 +209,9 @@ def find_contamination(
     window in it, as strings, sorted. ``carry`` adds ``row``, the input row as a struct. Documents
     are never shuffled; items go to the tasks in blocks of a proven size, one pass per block.
 
-    Null texts have no words. Null ids and repeated rows are rows like others. Items without id or
-    words are ignored, repeated items count once. Empty tables give no rows, or no hits. Other
+    Null texts have no words. Null ids and repeated rows are rows like others. Items without
+    words are ignored, repeated items count once; those without an id count for the spans, but are
+    not among ``item_ids``. Empty tables give no rows, or no hits. Other
     columns are ignored, whatever their names.
     """
     row = [F.struct("*").alias("row")] if carry else []

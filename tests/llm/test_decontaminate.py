@@ -70,3 +70,14 @@ def test_odd_rows_and_blocks(spark):
 def test_query(spark, sf):
     got = queries.op1_benchmark_decontamination(spark, sf)
     assert differences(got, connect(sf), queries.OP1_SQL) == []
+
+
+def test_items_without_an_id_have_hits(spark):
+    rows = DOCS[:4] + DOCS[7:10]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(None, ITEM), (None, SHORT), (9, SHORT)], "item_id long, text string")
+    named = [(-1, ITEM), (-1, SHORT), (9, SHORT)]
+    wanted = [(*r[:3], [i for i in r[3] if i != "-1"]) for r in by_hand(rows, named)]
+    assert rows_of(decontaminate.find_contamination(docs, items)) == sorted(wanted, key=repr)
+    kept = decontaminate.decontaminate(docs, items).collect()
+    assert sorted(r.doc_id for r in kept) == [3, 8]
