@@ -273,7 +273,7 @@ FROM d WINDOW same AS (PARTITION BY norm)
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, size, end = WORD_BPE
     docs = _table(spark, sf_dir, "documents")
-    store = token_files.write_token_files(docs, public_tokenizers.path(name), end, size)
+    store = token_files.write_token_files(docs, public_tokenizers.path(name), end, size, unnamed=True)
     return token_files.read_token_files(spark, store)
 
 

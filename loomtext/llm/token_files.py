@@ -2,7 +2,8 @@
 
 A store is a folder: per partition ``ids`` (flat unsigned integers, little-endian), ``docs`` (64-bit
 document ids) and ``offsets`` (64-bit, one more than documents, counted from the partition's first
-id), and a manifest table with each partition's base, the number of ids before it. Files are
+id), and a manifest table with each partition's base, the number of ids before it, and the number
+of its first documents that have no id (0 stands for it in ``docs``). Files are
 written with pyarrow's file systems, so a folder may be local or in a shared store; local files
 are memory-mapped when read.
 """
@@ -122,7 +123,7 @@ def _mapped(fs: pafs.FileSystem, path: str) -> pa.Buffer:
         return f.read_buffer()
 
 
-MANIFEST = "part int, name string, docs long, ids long, first_doc long"
+MANIFEST = "part int, name string, docs long, ids long, first_doc long, unnamed long"
 
 
 def write_token_files(
@@ -133,6 +134,7 @@ def write_token_files(
     id_col: str = "doc_id",
     text_col: str = "text",
     folder: str | None = None,
+    unnamed: bool = False,
 ) -> str:
     """Encode every text, append ``end_id``, and write the store in ascending id order.
 
@@ -143,7 +145,8 @@ def write_token_files(
     they take 16 bits, else 32.
 
     Null texts count as empty and hold the end id alone. Rows without an id are left out, as the
-    store is keyed by it. Rows that repeat an id stand side by side, ordered by their text. An
+    store is keyed by it; with ``unnamed`` they come first, ordered by a hash of their text, then
+    the text, and read back with a null id. Rows that repeat an id stand side by side, ordered by their text. An
     empty table gives a store without files.
     """
     spark = docs.sparkSession
@@ -157,7 +160,7 @@ def write_token_files(
         part = TaskContext.get().partitionId()
         name = f"part-{part:06d}-{uuid.uuid4().hex}"
         fs.create_dir(path, recursive=True)
-        n_docs, offsets, ids, out, doc_file = 0, [0], 0, None, None
+        n_docs, n_unnamed, offsets, ids, out, doc_file = 0, 0, [0], 0, None, None
         first = None
         for batch in batches:
             if not len(batch):
@@ -166,7 +169,8 @@ def write_token_files(
                 out = fs.open_output_stream(f"{path}/{name}.ids")
                 doc_file = fs.open_output_stream(f"{path}/{name}.docs")
                 first = batch.column(0)[0].as_py()
-            doc_file.write(batch.column(0).to_numpy().astype("<i8").tobytes())
+            doc_file.write(batch.column(0).fill_null(0).to_numpy().astype("<i8").tobytes())
+            n_unnamed += batch.column(0).null_count
             for text in batch.column(1):
                 packed = encoder.encode(text.as_py() or "") + end
                 out.write(packed)
@@ -179,17 +183,23 @@ def write_token_files(
         doc_file.close()
         with fs.open_output_stream(f"{path}/{name}.offsets") as f:
             f.write(np.asarray(offsets, dtype="<i8").tobytes())
-        rows = [[part], [name], [n_docs], [ids], [first]]
-        types = [pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
+        rows = [[part], [name], [n_docs], [ids], [first], [n_unnamed]]
+        types = [pa.int32(), pa.string(), *[pa.int64()] * 4]
         columns = [pa.array(r, type=t) for r, t in zip(rows, types, strict=True)]
-        yield pa.RecordBatch.from_arrays(columns, names=["part", "name", "docs", "ids", "first_doc"])
+        yield pa.RecordBatch.from_arrays(columns, names=["part", "name", "docs", "ids", "first_doc", "unnamed"])
 
     texts = docs.select(
         docs[id_col].cast("long").alias("doc_id"), docs[text_col].cast("string").alias("text")
-    ).filter("doc_id IS NOT NULL")
+    )
+    if unnamed:  # dealt by their texts, so that they need not fit in one range
+        texts = texts.withColumn("_mark", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+        keys = ["doc_id", "_mark"]
+    else:
+        texts, keys = texts.filter("doc_id IS NOT NULL"), ["doc_id"]
     parts = (
-        texts.repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        texts.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys, "text")
+        .select("doc_id", "text")
         .mapInArrow(write, MANIFEST)
     )
     parts.write.parquet(f"{folder}/parts")
@@ -221,10 +231,13 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
                     zlib.crc32(ids[a:b].astype("<u4").tobytes())
                     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)
                 ]
-                columns = [doc_ids, row["base"] + offsets[:-1], np.diff(offsets), np.asarray(sums, dtype="<i8")]
+                columns = [
+                    pa.array(doc_ids, mask=np.arange(len(doc_ids)) < (row["unnamed"] or 0)),
+                    *(pa.array(c) for c in (row["base"] + offsets[:-1], np.diff(offsets), np.asarray(sums, dtype="<i8"))),
+                ]
                 for at in range(0, len(doc_ids), 10_000):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c[at : at + 10_000], type=pa.int64()) for c in columns],
+                        [c[at : at + 10_000] for c in columns],
                         names=["doc_id", "start", "n_tokens", "ids_crc32"],
                     )
 

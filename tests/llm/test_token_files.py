@@ -69,3 +69,18 @@ def test_query_against_the_library(spark, sf):
         assert (row.start, row.n_tokens) == (start, len(ids))
         assert row.ids_crc32 == zlib.crc32(np.asarray(ids, dtype="<u4").tobytes())
         start += len(ids)
+
+
+def test_rows_without_an_id_come_first(spark, tmp_path):
+    named = [(7 * i + (1 << 60), f"text {i}") for i in range(40)] + [(0, None)]
+    unnamed = [(None, f"no id {i % 30}") for i in range(50)] + [(None, None)]
+    docs = spark.createDataFrame(named + unnamed, "doc_id long, text string").repartition(5)
+    store = token_files.write_token_files(docs, PATH, 2, 49_408, unnamed=True)
+    got = sorted(token_files.read_token_files(spark, store).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got] == [None] * len(unnamed) + sorted(i for i, _ in named)
+    assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got)])[:-1].tolist()
+    sums = [zlib.crc32(np.asarray(x, dtype="<u4").tobytes()) for x in expected([t for _, t in unnamed])]
+    assert sorted(r.ids_crc32 for r in got[: len(unnamed)]) == sorted(sums)
+    folder = f"{tmp_path}/sf"
+    docs.write.parquet(f"{folder}/documents.parquet")
+    assert queries.op10_token_files(spark, folder).count() == len(named) + len(unnamed)
