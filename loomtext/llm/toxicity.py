@@ -52,6 +52,11 @@ def _terms(text: str) -> set[str]:
     return words | {w[:n] + "*" for w in words for n in STEM if len(w) >= n}
 
 
+def _cuts(word: str) -> set[str]:
+    """A word, and it without one of its letters; words within one edit share one of these."""
+    return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}
+
+
 class LexiconTrie:
     """Terms in a trie; ``term*`` matches every word that it opens, within one edit if it is long.
 
@@ -66,6 +71,9 @@ class LexiconTrie:
         self.starts: defaultdict[int, set[str]] = defaultdict(set)
         self.ends: defaultdict[int, set[str]] = defaultdict(set)
         self.parts: defaultdict[tuple[int, int], set[str]] = defaultdict(set)
+        self.cuts: set[str] = set()
+        self.openings: dict[str, bool] = {}  # remembered: whether a stem is near words that open so
+        self.stem_cuts: defaultdict[int, set[str]] = defaultdict(set)  # by the stem's length
         for term in terms:
             stem = term.endswith("*")
             word = term.removesuffix("*")
@@ -77,10 +85,12 @@ class LexiconTrie:
                 continue
             half = len(word) // 2
             if stem:
+                self.stem_cuts[len(word)] |= _cuts(word)
                 self.parts[0, half].add(word[:half])
                 for at in (half - 1, half, half + 1):
                     self.parts[at, at + len(word) - half].add(word[half:])
             else:
+                self.cuts |= _cuts(word)
                 for n in (len(word) - 1, len(word), len(word) + 1):
                     self.starts[n].add(word[:half])
                     self.ends[n].add(word[half:])
@@ -88,14 +98,26 @@ class LexiconTrie:
             n: ({len(x) for x in self.starts[n]}, {len(x) for x in self.ends[n]}) for n in self.starts
         }
 
-    def _near(self, word: str) -> bool:
-        """Whether half a term stands where one edit leaves it."""
+    def near(self, word: str) -> bool:
+        """Whether half a term stands where one edit leaves it, and a cut of the word is one of a term's."""
+        first = word[: STEM[-1] + 1]  # all that a stem within one edit can depend on
+        near = self.openings.get(first)
+        if near is None:
+            if len(self.openings) > WORDS_HELD:
+                self.openings.clear()
+            near = any(first[a:b] in parts for (a, b), parts in self.parts.items()) and any(
+                not cuts.isdisjoint(_cuts(first[:k])) for n, cuts in self.stem_cuts.items() for k in (n - 1, n, n + 1)
+            )
+            self.openings[first] = near
+        if near:
+            return True
         n = len(word)
-        if n in self.halves:
-            starts, ends = self.halves[n]
-            if any(word[:k] in self.starts[n] for k in starts) or any(word[-k:] in self.ends[n] for k in ends):
-                return True
-        return any(word[a:b] in parts for (a, b), parts in self.parts.items())
+        if n not in self.halves:
+            return False
+        starts, ends = self.halves[n]
+        if any([word[:k] in self.starts[n] for k in starts]) or any([word[-k:] in self.ends[n] for k in ends]):
+            return not self.cuts.isdisjoint(_cuts(word))
+        return False
 
     def find(self, word: str) -> dict[str, int]:
         """Terms within reach of a word, with their edits (0 or 1).
@@ -114,7 +136,7 @@ class LexiconTrie:
         else:
             if "" in node:
                 found[node[""]] = 0
-        if self._near(word):
+        if self.near(word):
             self._walk(self.root, word, list(range(len(word) + 1)), 0, found)
         return found
 
@@ -218,7 +240,7 @@ def _near_words(sample: DataFrame, terms: list[str]) -> dict[str, set[str]]:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for w in {w for w in _CUT.split(text.lower()) if w} - known.keys():
-                    known[w] = [t for t, edits in trie.find(w).items() if edits]
+                    known[w] = [t for t, edits in trie.find(w).items() if edits] if trie.near(w) else []
         pairs = [(t, w) for w, found in known.items() for t in found]
         yield pa.RecordBatch.from_arrays(
             [pa.array([p[i] for p in pairs], type=pa.string()) for i in (0, 1)], names=["term", "word"]
