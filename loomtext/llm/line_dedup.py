@@ -106,9 +106,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     n = F.coalesce(F.size("_lines"), F.lit(0))
     n_lines = F.when(F.col("_text").isNull(), 0).otherwise(n)
     removed = F.when(untouched, 0).otherwise(n - F.size(lines))
-    kept = [F.col(f"_row.`{c}`") for c in docs.columns if c not in (text_col, "n_lines", "n_removed")]
-    result = marked.select(
-        *kept, text.alias(text_col), n_lines.cast("long").alias("n_lines"), removed.cast("long").alias("n_removed")
+    # Computed on their own: beside the other columns, a lambda would take their names for its own.
+    judged = marked.select(
+        "_row", text.alias("_left"), n_lines.cast("long").alias("_n"), removed.cast("long").alias("_gone")
     )
     others = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    return result.select(*(F.col(f"`{c}`") for c in others), "n_lines", "n_removed")
+    passed = [F.col("_left" if c == text_col else f"_row.`{c}`").alias(c) for c in others]
+    return judged.select(*passed, F.col("_n").alias("n_lines"), F.col("_gone").alias("n_removed"))

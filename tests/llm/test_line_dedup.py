@@ -59,6 +59,18 @@ def test_odd_rows(spark):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_internal_names_pass_through(spark):
+    names = "_row _at _text _lines _hashes _ends _chunks _chunk _bytes _hash _first _gone _left _n k n id mark".split()
+    docs = spark.createDataFrame(
+        [(i, PASSAGE, *names) for i in range(3)], "doc_id long, text string, " + ", ".join(f"{c} string" for c in names)
+    )
+    left = line_dedup.dedup_lines(docs)
+    assert left.columns == ["doc_id", "text", *names, "n_lines", "n_removed"]
+    rows = left.collect()
+    assert {tuple(r[c] for c in names) for r in rows} == {tuple(names)}
+    assert sorted((r.doc_id, r.n_removed > 0) for r in rows) == [(0, False), (1, True), (2, True)]
+
+
 def test_passages_go_wherever_they_stand(spark):
     docs = spark.createDataFrame(ROWS[:2], "doc_id long, text string")
     left = {r.doc_id: r for r in line_dedup.dedup_lines(docs).collect()}
