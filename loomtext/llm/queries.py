@@ -13,6 +13,7 @@ from loomtext.llm import (
     decontaminate,
     exact_dedup,
     line_dedup,
+    mixing,
     near_dedup,
     pieces,
     secrets,
@@ -277,6 +278,46 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, store)
 
 
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mix_sources(_table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "budget", "place")
+
+
+OP13_SQL = r"""
+WITH d AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+           md5('13:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents
+), sizes AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS s, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w
+    FROM d GROUP BY source
+), shares AS (
+    -- Sources by the share at which they are full: one is above if what the fuller ones leave, shared
+    -- by the weights that are left, gives it more than three times its size.
+    SELECT *, CAST(sum(s) OVER () - coalesce(3 * sum(s) OVER before, 0) AS HUGEINT) AS free,
+           CAST(sum(w) OVER (ORDER BY s * 6 / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS HUGEINT) AS rest
+    FROM sizes WINDOW before AS (ORDER BY s * 6 / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), judged AS (SELECT *, free * w > CAST(3 * s AS HUGEINT) * rest AS above FROM shares),
+left_over AS (
+    SELECT CAST((SELECT sum(s) FROM sizes) - coalesce(sum(3 * s) FILTER (above), 0) AS BIGINT) AS free,
+           CAST(sum(w) FILTER (NOT above) AS BIGINT) AS rest FROM judged
+), targets AS (
+    SELECT source, s AS source_size,
+           CASE WHEN above THEN CAST(3 * s AS DOUBLE) ELSE CAST(free * w AS DOUBLE) / CAST(rest AS DOUBLE) END AS target,
+           CAST(CASE WHEN above THEN 3 * s ELSE free * w // rest END AS BIGINT) AS budget
+    FROM (SELECT j.source, j.s, j.w, j.above, l.free, l.rest FROM judged j, left_over l)
+), placed AS (
+    SELECT doc_id, d.source, size, source_size, target, budget,
+           CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS place
+    FROM d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target, source, budget, place,
+       budget // greatest(source_size, 1) * size
+           + greatest(0, least(budget % greatest(source_size, 1) - place, size)) AS taken
+FROM placed
+"""
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_benchmark_decontamination": op1_benchmark_decontamination,
@@ -289,6 +330,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_token_files": op10_token_files,
+        "op13_source_mixing": op13_source_mixing,
     }
 
 
@@ -296,4 +338,5 @@ def all_sql() -> dict[str, str]:
     return {"op1_benchmark_decontamination": OP1_SQL, "op3_chat_formatting": OP3_SQL, "op6_line_dedup": OP6_SQL,
         "op7_substring_dedup": OP7_SQL,
         "op8_minhash_near_dedup": OP8_SQL,
-        "op9_exact_dedup": OP9_SQL}
+        "op9_exact_dedup": OP9_SQL,
+        "op13_source_mixing": OP13_SQL}
