@@ -15,6 +15,7 @@ from loomtext.llm import (
     line_dedup,
     mixing,
     near_dedup,
+    negatives,
     pieces,
     secrets,
     substring_dedup,
@@ -278,6 +279,39 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, store)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are a hundredth of the rows; every seventh row has a wrong label."""
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", shifted)
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+OP12_SQL = """
+WITH r AS (
+    SELECT * FROM (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    ) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, q) = 1
+), scored AS (
+    SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id AS id, b.label,
+           CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+    FROM r a JOIN r b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE label = own
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INT) AS rank, id AS negative_id,
+       positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE label <> own AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER best <= 5
+"""
+
+
 def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_sources(_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken", "source", "budget", "place")
@@ -330,6 +364,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_token_files": op10_token_files,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_source_mixing": op13_source_mixing,
     }
 
@@ -339,4 +374,5 @@ def all_sql() -> dict[str, str]:
         "op7_substring_dedup": OP7_SQL,
         "op8_minhash_near_dedup": OP8_SQL,
         "op9_exact_dedup": OP9_SQL,
+        "op12_hard_negatives": OP12_SQL,
         "op13_source_mixing": OP13_SQL}
