@@ -23,6 +23,7 @@ from loomtext.operators.scale import written
 SCALE = 256
 GROUP = 8  # components of a table, bits of a byte
 ANCHOR_ROWS, CANDIDATE_ROWS = 1024, 16_384  # most rows of a side in a cell, on average
+MOST_TASKS = 10_000
 TABLE_ANCHORS = 64  # anchors whose tables are held at a time
 
 POSITIVES, NEGATIVES = 5, 5
@@ -123,6 +124,9 @@ def _grid(anchors: DataFrame, rows: DataFrame, sides: tuple[int, int], cell, sch
     left = anchors.withColumn("_block", block).withColumn("_slab", F.explode(F.sequence(F.lit(0), F.lit(slabs - 1))))
     right = rows.withColumn("_slab", slab).withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     keys = ["_block", "_slab"]
+    # Cells are small in bytes and long in time, so they are not to be drawn together by size.
+    tasks = min(blocks * slabs, MOST_TASKS)
+    left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(cell, schema)
 
 

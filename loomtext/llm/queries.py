@@ -16,6 +16,7 @@ from loomtext.llm import (
     mixing,
     near_dedup,
     negatives,
+    phrases,
     pieces,
     secrets,
     substring_dedup,
@@ -279,6 +280,51 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, store)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(_table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?' || chr(11) || chr(12) || chr(13),
+        'abcdefghijklmnopqrstuvwxyz' || repeat(chr(10), 9)), chr(10))) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, w FROM (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces) WHERE len(w) > 0
+), numbered AS (SELECT lang, row_number() OVER () AS id, w FROM words),
+flat AS (SELECT lang, id, unnest(w) AS x, unnest(range(len(w))) AS i FROM numbered),
+ahead AS (
+    SELECT lang, x, lead(x) OVER piece AS y, lead(x, 2) OVER piece AS z FROM flat
+    WINDOW piece AS (PARTITION BY id ORDER BY i)
+), f1 AS (SELECT lang, x, count(*) AS n FROM ahead GROUP BY lang, x),
+f2 AS (SELECT lang, x, y, count(*) AS n FROM ahead WHERE y IS NOT NULL GROUP BY lang, x, y),
+f3 AS (SELECT lang, x, y, z, count(*) AS n FROM ahead WHERE z IS NOT NULL GROUP BY lang, x, y, z HAVING count(*) >= 10),
+sizes AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f1 GROUP BY lang),
+parts AS (
+    SELECT lang, x, y, max(n) AS longer
+    FROM (SELECT lang, x, y, n FROM f3 UNION ALL SELECT lang, y, z, n FROM f3) GROUP BY lang, x, y
+), cuts AS (
+    SELECT g.lang, g.x || ' ' || g.y || ' ' || g.z AS phrase, 1 AS k, g.n AS a, l.n AS l, r.n AS r
+    FROM f3 g JOIN f1 l ON l.lang = g.lang AND l.x = g.x JOIN f2 r ON r.lang = g.lang AND r.x = g.y AND r.y = g.z
+    UNION ALL
+    SELECT g.lang, g.x || ' ' || g.y || ' ' || g.z, 2, g.n, l.n, r.n
+    FROM f3 g JOIN f2 l ON l.lang = g.lang AND l.x = g.x AND l.y = g.y JOIN f1 r ON r.lang = g.lang AND r.x = g.z
+    UNION ALL
+    SELECT g.lang, g.x || ' ' || g.y, 1, g.n, l.n, r.n
+    FROM f2 g JOIN f1 l ON l.lang = g.lang AND l.x = g.x JOIN f1 r ON r.lang = g.lang AND r.x = g.y
+    LEFT JOIN parts p ON p.lang = g.lang AND p.x = g.x AND p.y = g.y
+    WHERE g.n >= 10 AND (longer IS NULL OR 100 * longer < 50 * g.n)
+), scored AS (
+    SELECT *, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts
+), best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER first AS rank, phrase, a, l, r, n, score
+FROM best JOIN sizes USING (lang)
+WINDOW first AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)
+QUALIFY row_number() OVER first <= 2000
+"""
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anchors are a hundredth of the rows; every seventh row has a wrong label."""
     shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -290,10 +336,10 @@ OP12_SQL = """
 WITH r AS (
     SELECT * FROM (
         SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-               list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS q
+               [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
         FROM embeddings
         WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
-          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+          AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
     ) QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY label, q) = 1
 ), scored AS (
     SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id AS id, b.label,
@@ -364,6 +410,7 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_token_files": op10_token_files,
+        "op11_phrase_collocations": op11_phrase_collocations,
         "op12_hard_negatives": op12_hard_negatives,
         "op13_source_mixing": op13_source_mixing,
     }
@@ -374,5 +421,6 @@ def all_sql() -> dict[str, str]:
         "op7_substring_dedup": OP7_SQL,
         "op8_minhash_near_dedup": OP8_SQL,
         "op9_exact_dedup": OP9_SQL,
+        "op11_phrase_collocations": OP11_SQL,
         "op12_hard_negatives": OP12_SQL,
         "op13_source_mixing": OP13_SQL}

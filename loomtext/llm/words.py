@@ -52,6 +52,10 @@ SPACED = _table(SPACES, lower=False)
 SPACED_LOWER = _table(SPACES, lower=True)
 PLAIN_LOWER = _table(PUNCTUATION, lower=True)
 
+# Bytes that end a piece of text; words inside a piece are apart by blanks and tabs.
+PIECE_ENDS = {*b".,;:!?", *range(0x0A, 0x0E)}
+PIECED_LOWER = _table({*PIECE_ENDS, 0x20, 0x09}, lower=True)
+
 
 @dataclass
 class Words:
@@ -98,7 +102,7 @@ def _slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
         first = last
 
 
-def _words(data: np.ndarray, cuts: np.ndarray, table: np.ndarray, first: int) -> Words:
+def _words(data: np.ndarray, cuts: np.ndarray, table: np.ndarray, first: int, base: np.uint64) -> Words:
     rows, n = len(cuts) - 1, len(data)
     values = table[data]
     inside = values != 0
@@ -115,7 +119,7 @@ def _words(data: np.ndarray, cuts: np.ndarray, table: np.ndarray, first: int) ->
     within = np.flatnonzero(inside)
     of = word[within]
     place = within - start[of]
-    pieces = values[within].astype(np.uint64) * _powers(_BYTE, int(place.max()) + 1)[place]
+    pieces = values[within].astype(np.uint64) * _powers(base, int(place.max()) + 1)[place]
     firsts = np.flatnonzero(place == 0)
     hashes = mix(np.add.reduceat(pieces, firsts))
     end = start + np.diff(np.append(firsts, len(within)))
@@ -124,8 +128,11 @@ def _words(data: np.ndarray, cuts: np.ndarray, table: np.ndarray, first: int) ->
     return Words(first, rows, data, start, end, row, np.arange(len(start)) - bounds[row], bounds, hashes)
 
 
-def batch_words(texts: pa.Array, table: np.ndarray) -> Iterator[Words]:
-    """The words of a string column, slice by slice; null texts have no words."""
+def batch_words(texts: pa.Array, table: np.ndarray, base: np.uint64 = _BYTE) -> Iterator[Words]:
+    """The words of a string column, slice by slice; null texts have no words.
+
+    ``base`` is the odd number whose powers weigh the bytes of a word in its hash.
+    """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = texts.cast(pa.large_string()).fill_null("")
@@ -135,4 +142,4 @@ def batch_words(texts: pa.Array, table: np.ndarray) -> Iterator[Words]:
     data = np.frombuffer(buffers[2], dtype=np.uint8) if size else np.zeros(0, dtype=np.uint8)
     for first, last in _slices(offsets):
         cuts = offsets[first : last + 1]
-        yield _words(data[cuts[0] : cuts[-1]], cuts - cuts[0], table, first)
+        yield _words(data[cuts[0] : cuts[-1]], cuts - cuts[0], table, first, base)
