@@ -36,12 +36,13 @@ HOT_WORDS, SALTS = 1000, 64
 # On average one node in CUT ends a path, so that a path fits into a row whatever the graph.
 CUT = 32
 
-HELD_WORDS = 300_000  # different words that a task holds before it gives them on
+HELD_WORDS = 500_000  # different words that a task holds before it gives them on
 HELD_EDGES = 1_000_000
 BATCH = 100_000
-LONG_WORD = 256  # bytes; longer words are hashed by a cryptographic hash
+LONG_WORD, SHORT_WORD = 256, 32  # bytes; longer words get a cryptographic hash as key, as check
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_LOWER_TABLE = np.frombuffer(_LOWER, dtype=np.uint8)
 _ENDS = np.isin(np.arange(256), list(PIECE_ENDS))
 _SECOND, _THIRD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -53,11 +54,15 @@ def _digest(data: bytes, seed: int) -> int:
     return int.from_bytes(hashlib.blake2b(data, digest_size=8, key=seed.to_bytes(4, "little")).digest(), "little")
 
 
-def _keyed(langs: pa.Array, texts: pa.Array, seed: int) -> Iterator[tuple[Words, np.ndarray]]:
-    """The words of a batch and a key for each, a 64-bit hash of its language and its letters."""
+def _lang_codes(langs: pa.Array, seed: int) -> np.ndarray:
     coded = langs.dictionary_encode()
     codes = np.array([_digest(v.encode(), seed) for v in coded.dictionary.to_pylist()], dtype=np.uint64)
-    codes = codes[coded.indices.to_numpy()]
+    return codes[coded.indices.to_numpy()]
+
+
+def _keyed(langs: pa.Array, texts: pa.Array, seed: int) -> Iterator[tuple[Words, np.ndarray]]:
+    """The words of a batch and a key for each, a 64-bit hash of its language and its letters."""
+    codes = _lang_codes(langs, seed)
     for w in batch_words(texts, PIECED_LOWER, np.uint64(_digest(b"base", seed) | 1)):
         h = w.hashes.copy()
         for i in np.flatnonzero(w.end - w.start > LONG_WORD):
@@ -75,6 +80,23 @@ def _continued(w: Words) -> np.ndarray:
     return out
 
 
+def _checks(w: Words) -> np.ndarray:
+    """32 more bits of each word, from its bytes in blocks of eight."""
+    data = _LOWER_TABLE[np.concatenate([w.data, np.zeros(8, np.uint8)])]
+    size = w.end - w.start
+    out = size.astype(np.uint64)
+    for block in range(SHORT_WORD // 8):
+        i = np.flatnonzero(size > 8 * block)
+        if not len(i):
+            break
+        some = data[(w.start[i] + 8 * block)[:, None] + np.arange(8)].view("<u8").ravel()
+        unused = np.uint64(8) * (8 - np.minimum(size[i] - 8 * block, 8)).astype(np.uint64)
+        out[i] = mix((out[i] ^ (some << unused)) * _THIRD + np.uint64(block + 1))
+    for i in np.flatnonzero(size > SHORT_WORD):
+        out[i] = _digest(w.text(i, i + 1)[0].translate(_LOWER), 1)
+    return out >> np.uint64(32)
+
+
 def _word_counts(seed: int):
     """Counts of words, folded inside the task; a second hash tells words of one key apart."""
 
@@ -96,10 +118,10 @@ def _word_counts(seed: int):
         held: dict[int, list] = {}
         for batch in batches:
             langs = batch.column(0)
-            pairs = zip(_keyed(langs, batch.column(1), seed), _keyed(langs, batch.column(1), seed + (1 << 16)))
-            for (w, keys), (_, checks) in pairs:
+            for w, keys in _keyed(langs, batch.column(1), seed):
                 if not len(keys):
                     continue
+                checks = _checks(w) ^ (_lang_codes(langs, 1)[w.first + w.row] >> np.uint64(32))
                 order = np.argsort(keys, kind="stable")
                 starts = np.flatnonzero(np.r_[True, np.diff(keys[order].view(np.int64)) != 0])
                 sizes = np.diff(np.r_[starts, len(order)])
@@ -141,18 +163,19 @@ def _edge_counts(seed: int):
     record (x, 0, 0); it holds the pieces that end behind x.
     """
 
-    def give(edges: tuple) -> Iterator[pa.RecordBatch]:
-        x, y, z, n = edges
+    def batches_of(columns: tuple) -> Iterator[pa.RecordBatch]:
+        for lo in range(0, len(columns[0]), BATCH):
+            some = [np.ascontiguousarray(c[lo : lo + BATCH]).view(np.int64) for c in columns]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in some], names=["x", "y", "z", "n"])
+
+    def flow_of(edges: tuple) -> tuple:
+        x, n = edges[0], edges[3]
         starts = np.flatnonzero(np.r_[True, x[1:] != x[:-1]])
-        flow = (x[starts], np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint64), np.add.reduceat(n, starts))
-        inner = y != 0
-        for part in ((x[inner], y[inner], z[inner], n[inner]), flow):
-            for lo in range(0, len(part[0]), BATCH):
-                some = [np.ascontiguousarray(c[lo : lo + BATCH]).view(np.int64) for c in part]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in some], names=["x", "y", "z", "n"])
+        none = np.zeros(len(starts), np.uint64)
+        return x[starts], none, none, np.add.reduceat(n, starts)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
+        held, rows, flows = [], 0, []
         for batch in batches:
             for w, x in _keyed(batch.column(0), batch.column(1), seed):
                 if not len(x):
@@ -167,10 +190,18 @@ def _edge_counts(seed: int):
                     held = [_folded(held)]
                     rows = len(held[0][0])
                     if rows > HELD_EDGES:
-                        yield from give(held[0])
+                        edges = held[0]
+                        yield from batches_of(tuple(c[edges[1] != 0] for c in edges))
+                        flows = [_folded([*flows, flow_of(edges)])]
                         held, rows = [], 0
+                        if len(flows[0][0]) > HELD_WORDS:
+                            yield from batches_of(flows.pop())
         if held:
-            yield from give(_folded(held))
+            edges = _folded(held)
+            yield from batches_of(tuple(c[edges[1] != 0] for c in edges))
+            flows = [_folded([*flows, flow_of(edges)])]
+        if flows:
+            yield from batches_of(flows[0])
 
     return count
 
@@ -212,7 +243,9 @@ def _flows(texts: DataFrame, words: DataFrame, seed: int, least: int) -> DataFra
     dealt = edges.withColumn("salt", salt.cast("int")).repartition("x", "y", "salt")
     # Both sums below follow from this one shuffle.
     weights = dealt.groupBy("x", "y", "salt", "z").agg(F.sum("n").alias("n"))
-    frequent = weights.filter((F.col("z") != 0) & (F.col("n") >= least)).select("x", "y", "z", "n")
+    # One condition on the sum: a condition on z alone would be moved below the shuffle, which
+    # the two branches then could not share.
+    frequent = weights.filter(F.when(F.col("z") != 0, F.col("n")).otherwise(0) >= least).select("x", "y", "z", "n")
     nodes = weights.groupBy("x", "y", "salt").agg(F.sum("n").alias("n"))
     nodes = nodes.filter((F.col("salt") >= 0) | (F.col("n") >= least))
     return written(frequent.unionByName(nodes.select("x", "y", F.lit(0).cast("long").alias("z"), "n")), "phrase-counts")
