@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import run_lengths, tokenize_and_clean
 from .lexical import LexicalModel, count_words
-from .scale import BROADCAST_BYTES, lookup_join, spread, top_k, within_bound
+from .scale import BROADCAST_BYTES, salted_join, spread, top_k, within_bound, written
 
 
 def bm25_topk(
@@ -25,7 +25,9 @@ def bm25_topk(
     """Best documents per query by BM25, summed over the distinct words of the query.
 
     Lengths and counts come from the document's own row and the mean length from the fitted
-    vocabulary; only words that some query uses leave the scan.
+    vocabulary; only words that some query uses leave the scan. For a bounded set of queries those
+    words are brought together by document before they meet the queries, so that scores are summed
+    and cut to the best in place and no pair of query and document is shuffled.
     """
     texts = spread(docs.select(doc_id, text_col), doc_id)
     tokens = texts.select(doc_id, tokenize_and_clean(text_col, **options).alias("_t"))
@@ -40,14 +42,15 @@ def bm25_topk(
     side = F.broadcast(words) if bounded else words
     rarity = F.log(1 + (F.lit(float(model.n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     asked = model.idf.join(side, "term").select(query_id, "term", rarity.alias("_rarity"))
-    pairs = lookup_join(
-        terms,
-        asked,
-        "term",
-        doc_id,
-        weights=model.idf.select("term", F.col("df").alias("n_rows")),
-        small_is_bounded=bounded,
-    )
+    if bounded:
+        asked = written(asked, "asked")
+        bounded = within_bound(asked)
+    if bounded:
+        used = terms.join(F.broadcast(asked.select("term").distinct()), "term", "left_semi")
+        pairs = used.repartition(doc_id).join(F.broadcast(asked), "term")
+    else:
+        frequency = model.idf.select("term", F.col("df").alias("n_rows"))
+        pairs = salted_join(terms, asked, "term", doc_id, weights=frequency)
     damped = F.col("tf") + k1 * (1 - b + b * F.col("_length") / mean_length)
     part = F.col("_rarity") * F.col("tf") * (k1 + 1) / damped
     scores = pairs.groupBy(query_id, doc_id).agg(F.sum(part).alias("bm25_score"))

@@ -38,6 +38,10 @@ from .scale import (
 )
 
 
+# Folders of a stored index; more would mean small files, fewer more to read for a few words.
+TERM_BUCKETS = 256
+
+
 def term_counts(df: DataFrame, id_col: str, tokens: Column) -> DataFrame:
     """(id, term, tf): counts taken inside each row, no shuffle."""
     # The outer form keeps Catalyst from adding a second evaluation of the tokeniser as a filter.
@@ -215,16 +219,31 @@ def store_postings(
     text_col: str = "text",
     **options,
 ) -> DataFrame:
-    """Unit postings of a corpus, written once for many searches."""
+    """Unit postings of a corpus, written once for many searches: (id, term, weight, bucket).
+
+    Terms are dealt to buckets by a hash, a folder each, so a search reads only the buckets of its
+    words. Rows are rebalanced by bucket, which leaves few files in a folder and cuts the bucket of
+    a word that fills a third of the corpus among several tasks.
+    """
     counts = count_words(docs, id_col, text_col, **options)
-    return written(tfidf_docs(counts, model, id_col), "postings")
+    postings = tfidf_docs(counts, model, id_col).withColumn("bucket", _bucket("term"))
+    return written(postings.hint("rebalance", "bucket"), "postings", partition_by="bucket")
+
+
+def _bucket(term: str) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(TERM_BUCKETS)).cast("int")
 
 
 def _asked_postings(
     postings: DataFrame, vectors: DataFrame, model: LexicalModel, bounded: bool, doc_id: str
 ) -> DataFrame:
-    """The same (id, hits) as ``asked_weights``, from stored postings instead of texts."""
+    """The same (id, hits) as ``asked_weights``, from stored postings instead of texts.
+
+    The folders of buckets that hold no asked term are not read.
+    """
     asked = vectors.select("term").distinct()
+    buckets = [r[0] for r in asked.select(_bucket("term")).distinct().collect()]  # at most TERM_BUCKETS
+    postings = postings.filter(F.col("bucket").isin(buckets)).drop("bucket")
     frequency = model.idf.select("term", F.col("df").alias("n_rows"))
     kept = lookup_join(postings, asked, "term", doc_id, frequency, small_is_bounded=bounded)
     hit = F.struct("term", F.col("weight").alias("doc_weight"))
@@ -441,15 +460,21 @@ def search_with_fallback(
     actions: Sequence[str] = FALLBACK_ACTIONS,
     doc_id: str = "doc_id",
     query_id: str = "query_id",
+    mode: str = "filter",
     **options,
 ) -> DataFrame:
     """One payload per query: results, or a message and suggested actions when the search guesses.
 
-    The top score is taken before hits below the threshold are dropped; equality succeeds.
+    The top score is taken before hits below the threshold are dropped; equality succeeds. With
+    ``flag`` all ``top`` rows stay, filled up as in ``search_topk``, each with its flag.
     """
+    if mode not in ("filter", "flag"):
+        raise ValueError("mode must be 'filter' or 'flag'")
     best = ranked_hits(docs, queries, model, top, doc_id, query_id, **options)
+    if mode == "flag":
+        best = _fill_up(best, docs, queries, top, doc_id, query_id)
     return fallback_payloads(
-        best, queries, confidence_threshold, message, actions, doc_id, query_id
+        best, queries, confidence_threshold, message, actions, doc_id, query_id, mode
     )
 
 
@@ -461,13 +486,20 @@ def fallback_payloads(
     actions: Sequence[str] = FALLBACK_ACTIONS,
     doc_id: str = "doc_id",
     query_id: str = "query_id",
+    mode: str = "filter",
 ) -> DataFrame:
-    """Decide per query from its ranked hits (at most a few rows each)."""
+    """Decide per query from its ranked hits (at most a few rows each).
+
+    A query that falls back has its hits as ``low_confidence_candidates`` instead of ``results``.
+    With ``flag`` results keep the hits below the threshold, and every hit says which it is.
+    """
     sure = F.round(F.col("cosine_score"), 9) >= confidence_threshold
-    entry = F.struct("rank", doc_id, "cosine_score", _keywords_of(ranked))
+    flag = [sure.alias("is_above_threshold")] if mode == "flag" else []
+    entry = F.struct("rank", doc_id, "cosine_score", _keywords_of(ranked), *flag)
     per_query = ranked.groupBy(query_id).agg(
         F.max("cosine_score").alias("_top"),
-        F.sort_array(F.collect_list(F.when(sure, entry))).alias("results"),
+        F.sort_array(F.collect_list(entry if mode == "flag" else F.when(sure, entry))).alias("results"),
+        F.sort_array(F.collect_list(entry)).alias("_all"),
     )
     top_score = F.coalesce(F.col("_top"), F.lit(0.0))
     weak = F.round(top_score, 9) < confidence_threshold
@@ -478,6 +510,7 @@ def fallback_payloads(
         F.when(weak, message).alias("fallback_message"),
         F.when(weak, F.array(*[F.lit(a) for a in actions])).alias("suggested_actions"),
         F.when(~weak, F.col("results")).alias("results"),
+        F.when(weak, F.col("_all")).alias("low_confidence_candidates"),
     )
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions.constants import FALLBACK_ACTIONS, FALLBACK_MESSAGE, NO_NOTE
 from ..operators import lexical as L
 from ..operators.hybrid import bm25_topk, edge_reorder, rrf_fuse
-from ..operators.scale import top_k
 from . import sql as S
 from .tables import Registry, documents, questions
 
@@ -218,23 +217,28 @@ def term_contributions(spark, sf):
 
 def flat_payloads(payloads):
     """Payloads with the nested results as text."""
-    entry = F.transform(
-        "results",
-        lambda r: F.concat_ws(
-            ":",
-            r["rank"].cast("string"),
-            r["doc_id"].cast("string"),
-            F.format_string("%.4f", r["cosine_score"]),
-            F.array_join(r["matched_keywords"], ","),
-        ),
-    )
+
+    def shown(hits):
+        entry = F.transform(
+            hits,
+            lambda r: F.concat_ws(
+                ":",
+                r["rank"].cast("string"),
+                r["doc_id"].cast("string"),
+                F.format_string("%.4f", r["cosine_score"]),
+                F.array_join(r["matched_keywords"], ","),
+            ),
+        )
+        return F.array_join(entry, ";").alias(hits)
+
     return payloads.select(
         "query_id",
         "status",
         F.round("max_confidence_score", 6).alias("max_confidence_score"),
         "fallback_message",
         F.array_join("suggested_actions", "|").alias("suggested_actions"),
-        F.array_join(entry, ";").alias("results"),
+        shown("results"),
+        shown("low_confidence_candidates"),
     )
 
 
@@ -248,17 +252,19 @@ def fallback_sql(source: str = "SELECT item_id AS query_id, text FROM benchmark"
           WHERE rank <= 3 GROUP BY query_id, rank, r.doc_id, score),
         grouped AS (
           SELECT query_id, max(score) AS top,
-            string_agg(entry, ';' ORDER BY rank) FILTER (round(score, 9) >= 0.2) AS results
+            string_agg(entry, ';' ORDER BY rank) FILTER (round(score, 9) >= 0.2) AS results,
+            string_agg(entry, ';' ORDER BY rank) AS hits
           FROM parts GROUP BY query_id),
         decided AS (
-          SELECT query_id, coalesce(top, 0.0) AS top, results,
+          SELECT query_id, coalesce(top, 0.0) AS top, results, hits,
                  round(coalesce(top, 0.0), 9) < 0.2 AS weak
           FROM ({source}) LEFT JOIN grouped USING (query_id))
         SELECT query_id, round(top, 6) AS max_confidence_score,
           CASE WHEN weak THEN 'FALLBACK_TRIGGERED' ELSE 'SUCCESS' END AS status,
           CASE WHEN weak THEN {S.quote(FALLBACK_MESSAGE)} END AS fallback_message,
           CASE WHEN weak THEN {S.quote('|'.join(FALLBACK_ACTIONS))} END AS suggested_actions,
-          CASE WHEN NOT weak THEN results END AS results
+          CASE WHEN NOT weak THEN results END AS results,
+          CASE WHEN weak THEN hits END AS low_confidence_candidates
         FROM decided"""
 
 
@@ -376,7 +382,7 @@ def bm25(spark, sf):
 def fuse(spark, sf):
     docs, asked = documents(spark, sf), questions(spark, sf)
     fitted = L.fit_lexical(docs)
-    lexical = top_k(L.cosine_scores(docs, asked, fitted), "query_id", "cosine_score", "doc_id", 10)
+    lexical = L.ranked_hits(docs, asked, fitted, top=10)
     okapi = bm25_topk(docs, asked, fitted, top=10)
     fused = rrf_fuse([lexical, okapi])
     return fused.select("query_id", "doc_id", "rank", "n_lists", six("rrf_score"))
@@ -390,8 +396,7 @@ def fuse(spark, sf):
 )
 def reorder(spark, sf):
     docs = documents(spark, sf)
-    pairs = L.cosine_scores(docs, questions(spark, sf), L.fit_lexical(docs))
-    best = top_k(pairs, "query_id", "cosine_score", "doc_id", 7)
+    best = L.ranked_hits(docs, questions(spark, sf), L.fit_lexical(docs), top=7)
     asked = best.groupBy("query_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", "doc_id"))).alias("retrieved")
     )

@@ -128,6 +128,35 @@ def test_fallback_is_strict(faq, ask, model):
     assert len(rows[2]["suggested_actions"]) == 2
 
 
+def test_fallback_keeps_weak_candidates_and_flags(faq, ask, model):
+    queries = ask("bursar fee deposit", "river", "xyzqwk123")
+    rows = {r["query_id"]: r for r in L.search_with_fallback(faq, queries, model, confidence_threshold=0.99).collect()}
+    weak = rows[2]["low_confidence_candidates"]
+    assert rows[2]["results"] is None and [c["doc_id"] for c in weak] == ["FAQ-04"]
+    assert weak[0]["cosine_score"] == rows[2]["max_confidence_score"] and weak[0]["matched_keywords"] == ["river"]
+    assert rows[3]["low_confidence_candidates"] is None  # nothing was found at all
+    flagged = L.search_with_fallback(faq, queries, model, top=3, confidence_threshold=0.25, mode="flag").collect()
+    by_id = {r["query_id"]: r for r in flagged}
+    assert [c["is_above_threshold"] for c in by_id[1]["results"]][0] is True
+    assert len(by_id[1]["results"]) == 3 and by_id[1]["low_confidence_candidates"] is None
+    assert [c["is_above_threshold"] for c in by_id[3]["low_confidence_candidates"]] == [False] * 3
+    with pytest.raises(ValueError):
+        L.search_with_fallback(faq, queries, model, mode="other")
+
+
+def test_stored_postings_are_pruned_by_bucket(spark, faq, ask, model):
+    stored = L.store_postings(faq, model)
+    vectors, bounded = L.query_vectors(ask("river fish", "bursar"), model)
+    kept = L._asked_postings(stored, vectors, model, bounded, "doc_id")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters: [") :]
+    assert filters.startswith("PartitionFilters: [bucket#") and " IN (" in filters.split("]")[0]
+    terms = {"river", "fish", "bursar"}
+    wanted = {(r["doc_id"], r["term"], r["weight"]) for r in stored.collect() if r["term"] in terms}
+    assert {(r["doc_id"], h["term"], h["doc_weight"]) for r in kept.collect() for h in r["hits"]} == wanted != set()
+    assert not L._asked_postings(stored, vectors.limit(0), model, bounded, "doc_id").collect()
+
+
 def test_threshold_equality_succeeds(spark, ask):
     ranked = spark.createDataFrame(
         [(1, 1, 7, 0.2, ["a"]), (2, 1, 8, 0.1999, ["a"])],
