@@ -11,6 +11,7 @@ are memory-mapped when read.
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 import uuid
 import zlib
@@ -26,14 +27,17 @@ from pyspark.sql.window import Window
 
 from loomtext.operators.scale import scratch_dir
 
-# Entries of a task's memories of encoded words and of their pieces; beyond that they start afresh.
-WORDS_HELD, PIECES_HELD = 500_000, 800_000
+# Entries of a worker's memories of encoded words and of their pieces, before one becomes the older
+# one, which is looked up but not added to.
+WORDS_HELD, PIECES_HELD = 300_000, 400_000
+
+WRITE_BYTES = 4 << 20  # ids are gathered up to so many bytes, so that memory stays bounded
 
 _ENCODERS: dict[tuple, "WordEncoder"] = {}
 
 # Words of these characters are cut and lower-cased the same way in Python and in the library.
-_SIMPLE = re.compile("[!-~À-ɏ]+")
-_SPACE = re.compile("[ \t\n\r\f\v]+")
+_SIMPLE = re.compile("[!-~À-ɏ]+").fullmatch
+_PRINTED = re.compile("[!-~]+").fullmatch
 
 
 class WordEncoder:
@@ -49,8 +53,11 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = dtype
+        self.packing = {"<u2": "H", "<u4": "I"}[dtype]
         self.words: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
         self.cut = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+").findall
         # The byte alphabet of byte-level vocabularies: printable bytes stand for themselves, the
         # others follow from U+0100 on.
@@ -67,37 +74,54 @@ class WordEncoder:
         return np.asarray(ids, dtype=self.dtype).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        out = self.pieces.get(piece)
-        if out is None:
-            coded = piece.encode().decode("latin-1").translate(self.alphabet)
-            ids = [t.id for t in self.tokenizer.model.tokenize(coded)]
-            out = self.pieces[piece] = np.asarray(ids, dtype=self.dtype).tobytes()
-        return out
+        packed = self.pieces.get(piece)
+        if packed is None:
+            packed = self.older_pieces.get(piece)
+            if packed is None:
+                printed = _PRINTED(piece)  # its bytes stand for themselves
+                coded = piece if printed else piece.encode().decode("latin-1").translate(self.alphabet)
+                ids = [t.id for t in self.tokenizer.model.tokenize(coded)]
+                packed = struct.pack(f"<{len(ids)}{self.packing}", *ids)
+            if len(self.pieces) >= PIECES_HELD:
+                self.older_pieces, self.pieces = self.pieces, {}
+            self.pieces[piece] = packed
+        return packed
 
     def _word(self, word: str) -> bytes:
-        plain = _SIMPLE.fullmatch(word) and unicodedata.is_normalized("NFC", word)
-        if plain and not any(a in word for a in self.added):
+        if any([a in word for a in self.added]):
+            return self._library(word)
+        if word.isascii():
+            if word.isalpha():  # one piece
+                return self._piece(word.lower())
+            plain = _PRINTED(word)
+        else:
+            plain = _SIMPLE(word) and unicodedata.is_normalized("NFC", word)
+        if plain:
             return b"".join([self._piece(p) for p in self.cut(word.lower())])
         return self._library(word)
 
+    def _held(self, word: str) -> bytes:
+        packed = self.words.get(word)
+        if packed is None:
+            packed = self.older_words.get(word)
+            if packed is None:
+                packed = self._word(word) if word else b""
+            if len(self.words) >= WORDS_HELD:
+                self.older_words, self.words = self.words, {}
+            self.words[word] = packed
+        return packed
+
     def encode(self, text: str) -> bytes:
         if not self.spaced:
             return self._library(text)
-        words = _SPACE.split(text)
-        held = self.words
-        out = [held.get(w) for w in words]
+        for space in "\t\n\r\f\v":
+            if space in text:
+                text = text.replace(space, " ")
+        words = text.split(" ")
+        out = list(map(self.words.get, words))
         if None in out:
-            for n, packed in enumerate(out):
-                if packed is None:
-                    w = words[n]
-                    packed = held.get(w)
-                    if packed is None:
-                        packed = held[w] = self._word(w) if w else b""
-                    out[n] = packed
-            if len(held) > WORDS_HELD:
-                held.clear()
-            if len(self.pieces) > PIECES_HELD:
-                self.pieces.clear()
+            held = self._held
+            out = [held(w) if packed is None else packed for w, packed in zip(words, out, strict=True)]
         return b"".join(out)
 
 
@@ -171,11 +195,16 @@ def write_token_files(
                 first = batch.column(0)[0].as_py()
             doc_file.write(batch.column(0).fill_null(0).to_numpy().astype("<i8").tobytes())
             n_unnamed += batch.column(0).null_count
-            for text in batch.column(1):
-                packed = encoder.encode(text.as_py() or "") + end
-                out.write(packed)
-                ids += len(packed) // width
+            packed, size = [], 0
+            for text in batch.column(1).to_pylist():
+                packed += encoder.encode(text or ""), end
+                size += len(packed[-2])
+                ids += len(packed[-2]) // width + 1
                 offsets.append(ids)
+                if size > WRITE_BYTES:
+                    out.write(b"".join(packed))
+                    packed, size = [], 0
+            out.write(b"".join(packed))
             n_docs += len(batch)
         if out is None:
             return
