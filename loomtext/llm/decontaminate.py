@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -197,7 +197,6 @@ def find_contamination(
     item_text: str = "text",
     window: int = 10,
     block: int = BLOCK,
-    carry: bool = False,
 ) -> DataFrame:
     """The words of every document that stand in an occurrence of an item's window.
 
@@ -206,7 +205,7 @@ def find_contamination(
 
     Returns ``doc_id, n_words, spans, item_ids``: one row per input row, the covered stretches of
     words (start, end exclusive, apart from each other, in order) and the ids of the items with a
-    window in it, as strings, sorted. ``carry`` adds ``row``, the input row as a struct. Documents
+    window in it, as strings, sorted. Documents
     are never shuffled; items go to the tasks in blocks of a proven size, one pass per block.
 
     Null texts have no words. Null ids and repeated rows are rows like others. Items without
@@ -214,18 +213,20 @@ def find_contamination(
     not among ``item_ids``. Empty tables give no rows, or no hits. Other
     columns are ignored, whatever their names.
     """
-    row = [F.struct("*").alias("row")] if carry else []
-    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"), *row)
+    rows = docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
     found = rows.withColumns(
         {"n_words": F.lit(0), "spans": F.array().cast(_SPAN), "item_ids": F.array().cast("array<string>")}
     )
-    stored = written(_item_windows(items, item_id, item_text, window), "item-windows")
-    sc = docs.sparkSession.sparkContext
-    for part in _blocks(stored, block):
-        windows = _Windows(part.collect())  # at most ``block`` rows
-        prefixes = _prefixes(windows, _shingle_counts(rows, windows))
-        found = _pass(found, sc.broadcast((windows, prefixes)))
-    return found.select("doc_id", "n_words", "spans", "item_ids", *(["row"] if carry else []))
+    for shared in _searches(rows, _item_windows(items, item_id, item_text, window), block):
+        found = _pass(found, shared)
+    return found.select("doc_id", "n_words", "spans", "item_ids")
+
+
+def _searches(texts: DataFrame, windows: DataFrame, block: int) -> Iterator[Broadcast]:
+    """Per block of windows: them and their prefixes, for every task."""
+    for part in _blocks(written(windows, "item-windows"), block):
+        held = _Windows(part.collect())  # at most ``block`` rows
+        yield texts.sparkSession.sparkContext.broadcast((held, _prefixes(held, _shingle_counts(texts, held))))
 
 
 def _pass(found: DataFrame, shared: Broadcast) -> DataFrame:
@@ -256,7 +257,37 @@ def _pass(found: DataFrame, shared: Broadcast) -> DataFrame:
     return found.mapInArrow(mark, T.StructType(found.schema.fields))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` without any hit, with all their columns, as they were."""
-    found = find_contamination(docs, items, carry=True, **options)
-    return found.filter(F.size("spans") == 0).select("row.*")
+def _clean(text: Column, shared: Broadcast) -> Column:
+    """Whether no window of a block occurs in the text."""
+
+    @F.arrow_udf("boolean")
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        windows, prefixes = shared.value
+        for texts in batches:
+            kept = np.ones(len(texts), dtype=bool)
+            for w in batch_words(texts, PLAIN_LOWER):
+                kept[[w.first + r for r, _, _ in _hits(w, windows, prefixes)]] = False
+            yield pa.array(kept)
+
+    return clean(text)
+
+
+def decontaminate(
+    docs: DataFrame,
+    items: DataFrame,
+    text_col: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    window: int = 10,
+    block: int = BLOCK,
+) -> DataFrame:
+    """The rows of ``docs`` without any hit, with all their columns, as they were.
+
+    Only the texts go to Python; the rows stay where they are. Other cases as in
+    ``find_contamination``: a row without words has no hit and stays.
+    """
+    text = docs[text_col].cast("string")
+    searches = _searches(docs.select(text.alias("text")), _item_windows(items, item_id, item_text, window), block)
+    for shared in searches:
+        docs = docs.filter(_clean(text, shared))
+    return docs

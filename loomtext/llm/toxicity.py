@@ -19,7 +19,6 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loomtext.operators.scale import written
 
@@ -364,31 +363,31 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -
     return ToxicityModel(lexicon, [*fitted.coefficients.toArray().tolist(), fitted.intercept], closed)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, carry: bool = False) -> DataFrame:
+def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """Every whole text scored: ``doc_id, held_out, score, predicted`` (1 from 0.7 on).
 
     One row per input row, in place, without a shuffle; the score sees the text alone. Null texts
     count as empty and get the score of a text without a match; a null id is not held out. Other
-    columns are ignored; ``carry`` adds ``row``, the input row as a struct.
+    columns are ignored.
     """
-    row = [F.struct("*").alias("row")] if carry else []
-    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"), *row)
-    rows = rows.withColumn("held_out", F.coalesce("held_out", F.lit(False)))
-    kept = [c for c in rows.columns if c != "text"]
-    schema = T.StructType([rows.schema[c] for c in kept]).add("score", "double")
+    marked = F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out")
+    scored = docs.select("doc_id", marked, _score(docs, model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def _score(docs: DataFrame, model: ToxicityModel) -> Column:
+    """The score of a row's text; only the texts go to Python."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a bounded lexicon
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matcher = Matcher(shared.value.lexicon, shared.value.closed)
-        for batch in batches:
-            scores = [shared.value.score(t.as_py() or "", matcher) for t in batch.column("text")]
-            columns = [*(batch.column(c) for c in kept), pa.array(scores, type=pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "score"])
+        for texts in batches:
+            yield pa.array([shared.value.score(t.as_py() or "", matcher) for t in texts], type=pa.float64())
 
-    scored = rows.mapInArrow(score, schema)
-    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    return score(docs["text"].cast("string"))
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """The rows that are not predicted toxic, with all their columns."""
-    return score_toxicity(docs, model, carry=True).filter("predicted = 0").select("row.*")
+    return docs.filter(_score(docs, model) < THRESHOLD)
