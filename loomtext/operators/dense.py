@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import math
+import uuid
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -12,15 +15,25 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, PCAModel, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import let, run_lengths, tokenize_and_clean
 from ..functions.vectors import as_double, dot, euclidean, l2_normalize, norm, verdict
-from .scale import BROADCAST_BYTES, hash_key, hash_rank, ordered_number, top_k, written
+from .scale import (
+    BROADCAST_BYTES,
+    hash_key,
+    hash_rank,
+    ordered_number,
+    scratch_dir,
+    top_k,
+    within_bound,
+    written,
+)
 
 DIM = 64
+FIT_PER_CELL = 256  # rows that cell centres are fitted on, per cell
 _ROW_BLOCK = 1024  # query rows multiplied at once inside a task
 
 Encoder = Callable[[list[str]], np.ndarray]
@@ -371,6 +384,15 @@ def self_retrieval(
 # ---------------------------------------------------------------- cells
 
 
+@dataclass(frozen=True)
+class CellIndex:
+    """A stored cell index: ``rows`` are the corpus and its ``_cell``, one folder per cell."""
+
+    rows: DataFrame
+    centres: np.ndarray
+    folder: str
+
+
 def fit_cells(corpus: DataFrame, n_cells: int, vector: str = "embedding", seed: int = 42):
     """k-means centres of the corpus, as an (n_cells, d) array; the centres are all that is kept."""
     features = corpus.select(array_to_vector(as_double(vector)).alias("features"))
@@ -378,8 +400,10 @@ def fit_cells(corpus: DataFrame, n_cells: int, vector: str = "embedding", seed:
     return np.array(model.clusterCenters())
 
 
-def nearest_cells(df: DataFrame, centres: np.ndarray, n: int, vector: str = "embedding"):
-    """Add ``cell``: one row per row and each of its n nearest centres."""
+def nearest_cells(
+    df: DataFrame, centres: np.ndarray, n: int, vector: str = "embedding", name: str = "cell"
+):
+    """Add the cell: one row per row and each of its n nearest centres."""
     shared = df.sparkSession.sparkContext.broadcast(centres)
 
     @F.pandas_udf("array<int>")
@@ -387,15 +411,144 @@ def nearest_cells(df: DataFrame, centres: np.ndarray, n: int, vector: str = "emb
         c = shared.value
         cells = pd.Series([None] * len(vectors), dtype=object)
         rows = np.flatnonzero(vectors.notna())
-        if len(rows):
+        if len(rows) and len(c):
             m = np.vstack([np.asarray(vectors.iloc[i], dtype=np.float64) for i in rows])
             gaps = (c * c).sum(1)[None, :] - 2.0 * (m @ c.T)
             order = np.argsort(np.round(gaps, 12), axis=1, kind="stable")[:, :n]
             cells.iloc[rows] = list(order.astype(np.int32))
         return cells
 
-    exploded = df.select("*", F.explode_outer(pick(vector)).alias("cell"))
-    return exploded.filter(F.col("cell").isNotNull())
+    exploded = df.select("*", F.explode_outer(pick(vector)).alias(name))
+    return exploded.filter(F.col(name).isNotNull())
+
+
+def build_cells(
+    corpus: DataFrame,
+    n_cells: int | None = None,
+    vector: str = "embedding",
+    corpus_id: str = "doc_id",
+    centres: np.ndarray | None = None,
+    folder: str | None = None,
+    seed: int = 42,
+) -> CellIndex:
+    """Store a corpus by cell, once for many searches; ``open_cells`` finds it again by its folder.
+
+    Without ``n_cells`` there are as many cells as the square root of the rows, so cells and what
+    a cell holds grow alike; never more than centres fit in one broadcast. Centres are fitted on
+    about ``FIT_PER_CELL`` rows per cell, chosen by a hash of the id; every row is stored, with all
+    its columns. Rows are rebalanced by cell, which leaves few files in a folder and cuts a hot cell
+    among several tasks. The corpus is read up to three times, so write a derived one first.
+
+    Rows without a vector cannot be found and are not stored. An empty corpus gives an index
+    without cells.
+    """
+    spark = corpus.sparkSession
+    folder = folder or f"{scratch_dir(spark)}/cell-index-{uuid.uuid4().hex}"
+    if centres is None:
+        n, width = corpus.agg(F.count(vector), F.max(F.size(vector))).first()
+        most = max(1, BROADCAST_BYTES // (8 * max(width or 1, 1)))
+        cells = min(n_cells or math.ceil(math.sqrt(n)), n, most)
+        share = math.ceil(min(1.0, cells * FIT_PER_CELL / max(n, 1)) * 1_000_000)
+        chosen = F.pmod(F.xxhash64(corpus_id), F.lit(1_000_000)) < share
+        sample = corpus.filter(F.col(vector).isNotNull() & chosen)
+        centres = fit_cells(sample, cells, vector, seed) if cells else np.zeros((0, 0))
+    dealt = nearest_cells(corpus, centres, 1, vector, "_cell")
+    dealt.hint("rebalance", "_cell").write.partitionBy("_cell").parquet(f"{folder}/rows")
+    listed = [(i, [float(x) for x in c]) for i, c in enumerate(centres)]  # bounded, as above
+    spark.createDataFrame(listed, "cell int, centre array<double>").write.parquet(f"{folder}/centres")
+    shape = [(dealt.schema.json(),)]
+    spark.createDataFrame(shape, "schema string").write.parquet(f"{folder}/manifest")
+    return open_cells(spark, folder)
+
+
+def open_cells(spark: SparkSession, folder: str) -> CellIndex:
+    """A cell index that ``build_cells`` stored."""
+    schema = spark.read.parquet(f"{folder}/manifest").first()["schema"]
+    rows = spark.read.schema(T.StructType.fromJson(json.loads(schema))).parquet(f"{folder}/rows")
+    found = spark.read.parquet(f"{folder}/centres").orderBy("cell").collect()  # fits in a broadcast
+    return CellIndex(rows, np.array([r["centre"] for r in found]), folder)
+
+
+def search_cells(
+    index: CellIndex,
+    queries: DataFrame,
+    k: int,
+    n_probe: int | None = None,
+    query_id: str = "query_id",
+    corpus_id: str = "doc_id",
+    vector: str = "embedding",
+    columns: Sequence[str] = (),
+    bounded: bool | None = None,
+) -> DataFrame:
+    """Top-k among the rows of each query's n_probe nearest cells; all cells give exact search.
+
+    Returns (query_id, corpus_id, similarity_score, rank) and the stored ``columns``. Only the folders
+    of probed cells are read, for the vectors and for the columns. Queries that were measured to
+    be small go to every task, which scans its cells in place for the queries that probe them; k
+    rows per query and task are shuffled. Else both sides meet in a grid by cell. Without
+    ``n_probe``: the square root of the number of cells, 4 at least.
+
+    Queries without a vector find nothing. An index without cells gives no rows.
+    """
+    n_probe = n_probe or max(4, math.ceil(math.sqrt(len(index.centres))))
+    probing = nearest_cells(queries.select(query_id, vector), index.centres, n_probe, vector, "_cell")
+    probes = written(probing, "probes")
+    probed = [r[0] for r in probes.select("_cell").distinct().collect()]  # at most as many as centres
+    near = index.rows.filter(F.col("_cell").isin(probed))
+    q, c = _sides(probes, near, query_id, corpus_id, vector, extra=["_cell"])
+    if bounded is None:
+        bounded = _fits(q)
+    found = _scan_cells(q, c, k) if bounded else grid_topk(q, c, k, part="_cell")
+    hits = _ranked(found, k, query_id, corpus_id)
+    if not columns:
+        return hits
+    hits = written(hits, "cell-hits")
+    side = F.broadcast(hits) if within_bound(hits) else hits
+    return near.select(corpus_id, *columns).join(side, corpus_id).select(*hits.columns, *columns)
+
+
+def _scan_cells(q: DataFrame, c: DataFrame, k: int) -> DataFrame:
+    table = _present(q.toArrow()).combine_chunks()  # measured by the caller
+    query_type = table.schema.field("_q").type
+    vectors = table.column("_v").combine_chunks()
+    cells = _ids(table.column("_cell").combine_chunks())
+    shared = q.sparkSession.sparkContext.broadcast(
+        (
+            _ids(table.column("_q").combine_chunks()),
+            _matrix(vectors),
+            {int(cell): np.flatnonzero(cells == cell) for cell in np.unique(cells)},
+        )
+    )
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        query_ids, matrix, asking = shared.value
+        # A query stands in one row per cell it probes; its first row gathers what all of them find.
+        first: dict = {}
+        gather = np.array([first.setdefault(x, n) for n, x in enumerate(query_ids.tolist())], dtype=np.int64)
+        best = None
+        for batch in batches:
+            id_type = batch.schema.field(0).type
+            batch = _present(batch)
+            places = _ids(batch.column(2))
+            for cell in np.unique(places):
+                rows = asking.get(int(cell))
+                if rows is None:
+                    continue
+                part = batch.take(pa.array(np.flatnonzero(places == cell)))
+                block = _matrix(part.column(1), matrix.shape[1])
+                at, ids, scores = _scan_block(matrix[rows], _ids(part.column(0)), block, k)
+                found = gather[rows[at]], ids, scores
+                if best is not None:
+                    found = tuple(np.concatenate(p) for p in zip(best, found))
+                best = _best(*found, k)
+        if best is not None:
+            at, ids, scores = best
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(query_ids[at], query_type), pa.array(ids, id_type), pa.array(scores)],
+                names=["_q", "_c", "similarity_score"],
+            )
+
+    return c.mapInArrow(scan, _result_schema(q, c))
 
 
 def ivf_topk(
@@ -409,20 +562,9 @@ def ivf_topk(
     vector: str = "embedding",
     centres: np.ndarray | None = None,
 ) -> DataFrame:
-    """Top-k among the vectors of each query's n_probe nearest cells; all cells give exact search.
-
-    The corpus is written in one folder per cell, of which only the probed ones are read. Rows
-    meet by cell only; a hot cell is cut into slabs.
-    """
-    if centres is None:
-        centres = fit_cells(corpus, n_cells, vector)
-    stored = corpus.select(corpus_id, vector)
-    cells = written(nearest_cells(stored, centres, 1, vector), "cells", partition_by="cell")
-    probes = written(nearest_cells(queries, centres, n_probe, vector), "probes")
-    probed = [r[0] for r in probes.select("cell").distinct().collect()]  # at most n_cells
-    near = cells.filter(F.col("cell").isin(probed))
-    q, c = _sides(probes, near, query_id, corpus_id, vector, extra=["cell"])
-    return _ranked(grid_topk(q, c, k, part="cell"), k, query_id, corpus_id)
+    """``build_cells`` and ``search_cells`` for one search; several share a stored index."""
+    index = build_cells(corpus.select(corpus_id, vector), n_cells, vector, corpus_id, centres)
+    return search_cells(index, queries, k, n_probe, query_id, corpus_id, vector)
 
 
 # ---------------------------------------------------------------- projection

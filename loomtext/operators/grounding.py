@@ -24,7 +24,7 @@ from ..functions.constants import (
 )
 from ..functions.text import excerpt, let, query_terms, split_sentences, word_overlap
 from .chunking import chunk_metadata, chunk_text
-from .dense import DIM, embed_text, vector_topk
+from .dense import DIM, CellIndex, embed_text, search_cells, vector_topk
 from .scale import BROADCAST_ROWS, within_bound, written
 
 Generator = Callable[[str, str], str]
@@ -60,7 +60,7 @@ def build_chunk_index(
 
 
 def retrieve_chunks(
-    index: DataFrame,
+    index: DataFrame | CellIndex,
     queries: DataFrame,
     top: int = 3,
     query_id: str = "query_id",
@@ -68,10 +68,18 @@ def retrieve_chunks(
     dim: int = DIM,
     encode: Callable[[DataFrame], DataFrame] | None = None,
     key: str = "source_id",
+    n_probe: int | None = None,
 ) -> DataFrame:
-    """Best chunks per query by inner product: ids travel through the ranking, text joins last."""
+    """Best chunks per query by inner product: ids travel through the ranking, text joins last.
+
+    A chunk index that ``build_cells`` stored is searched in each query's ``n_probe`` nearest
+    cells, and vectors and texts of those cells alone are read.
+    """
     asked = queries.select(query_id, F.col(query_text).alias("text"))
     vectors = encode(asked) if encode else embed_text(asked, dim=dim)
+    if isinstance(index, CellIndex):
+        columns = [c for c in index.rows.columns if c not in ("embedding", "_cell", key)]
+        return search_cells(index, vectors, top, n_probe, query_id, key, "embedding", columns)
     hits = vector_topk(vectors, index, top, query_id, key, "embedding")
     few = within_bound(asked, max_rows=BROADCAST_ROWS // max(top, 1))
     side = F.broadcast(hits) if few else hits
@@ -250,7 +258,7 @@ def ask(
 
 
 def rag_answers(
-    index: DataFrame,
+    index: DataFrame | CellIndex,
     queries: DataFrame,
     top: int = 3,
     threshold: float = GUARDRAIL_THRESHOLD,

@@ -186,6 +186,19 @@ def ivf(spark, sf):
     return best.select("query_id", "doc_id", "rank", six("similarity_score"))
 
 
+@R.add(
+    "search_cells",
+    f"""{TOPK} SELECT query_id, doc_id, rank, round(score, 6) AS similarity_score
+        FROM near WHERE rank <= 5""",
+)
+def search_cells(spark, sf):
+    """A stored index, opened by its folder; all cells probed, so the rows are those of exact search."""
+    vectors = written(embedded_documents(spark, sf), "vectors")
+    index = D.open_cells(spark, D.build_cells(vectors).folder)
+    best = D.search_cells(index, embedded_questions(spark, sf), 5, n_probe=len(index.centres))
+    return best.select("query_id", "doc_id", "rank", six("similarity_score"))
+
+
 SELF = """WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v
                      FROM embeddings),
   s AS (SELECT a.vec_id AS query_id, b.vec_id AS top_id, list_inner_product(a.v, b.v) AS score

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import PROMPTS, REFUSAL_SENTINEL
 from ..operators import chunking as K
 from ..operators import grounding as G
+from ..operators.dense import build_cells
 from ..operators.hybrid import edge_reorder
 from . import sql as S
 from .tables import Registry, documents, questions
@@ -131,6 +132,21 @@ def retrieve_chunks(spark, sf):
     )
 
 
+@R.add(
+    "retrieve_chunks_by_cell",
+    f"""{RETRIEVED} SELECT query_id, rank, source_id, doc_id, chunk_no, text,
+          round(score, 6) AS similarity_score FROM hits WHERE rank <= 3""",
+)
+def retrieve_chunks_by_cell(spark, sf):
+    """Texts by a stored cell index of the chunks; all cells probed, so the rows are the scan's."""
+    chunks = G.build_chunk_index(documents(spark, sf), separators=WINDOWS)
+    index = build_cells(chunks, corpus_id="source_id")
+    hits = G.retrieve_chunks(index, questions(spark, sf), 3, n_probe=len(index.centres))
+    return hits.select(
+        "query_id", "rank", "source_id", "doc_id", "chunk_no", "text", six("similarity_score")
+    )
+
+
 CONTEXT = """string_agg('--- SOURCE [' || source_id || '] (Score: ' || printf('%.4f', score)
     || ') ---' || chr(10) || text, chr(10) || chr(10) ORDER BY {order})"""
 

@@ -92,6 +92,46 @@ def test_cells_probed_in_full_are_exact_and_in_part_are_a_subset(spark, corpus_m
     assert hit / len(exact) > 0.4
 
 
+def test_stored_cells_are_exact_if_all_are_probed_and_pruned_if_not(spark, corpus_matrix, query_matrix):
+    queries = frame(spark, query_matrix, "query_id")
+    corpus = frame(spark, corpus_matrix).withColumn("rank", F.col("doc_id") * 2)
+    lost = spark.createDataFrame([(9_999, None, 1)], corpus.schema)
+    built = D.build_cells(corpus.union(lost), 7)
+    index = D.open_cells(spark, built.folder)
+    assert np.array_equal(index.centres, built.centres) and index.rows.count() == len(corpus_matrix)
+    exact = brute_force(query_matrix, corpus_matrix, 5)
+    for bounded in (True, False):
+        every = D.search_cells(index, queries, 5, n_probe=7, bounded=bounded).collect()
+        assert {(r["query_id"], r["rank"]): r["doc_id"] for r in every} == exact
+    kept = [
+        sorted(map(tuple, D.search_cells(index, queries, 5, n_probe=2, bounded=b).select("query_id", "rank", "doc_id").collect()))
+        for b in (True, False)
+    ]
+    assert kept[0] == kept[1]
+    one = queries.filter("query_id = 0")
+    centre = np.argmin(((index.centres - query_matrix[0]) ** 2).sum(1))
+    inside = {r["doc_id"] for r in index.rows.filter(F.col("_cell") == int(centre)).collect()}
+    found = D.search_cells(index, one, 500, n_probe=1)
+    assert {r["doc_id"] for r in found.collect()} == inside
+    plan = found._jdf.queryExecution().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*_cell#", plan)  # other folders are not read
+
+
+def test_stored_cells_take_ties_empty_tables_and_other_columns(spark):
+    rows = [(f"d{i % 90}", [1.0, 0.0], "x" * i) for i in range(100)]
+    corpus = spark.createDataFrame(rows, "doc_id string, embedding array<double>, cell string")
+    queries = spark.createDataFrame([(1, [0.5, 0.5]), (2, [1.0, 0.0]), (3, None)], "query_id long, embedding array<double>")
+    index = D.build_cells(corpus)
+    for bounded in (True, False):
+        got = D.search_cells(index, queries, 2, bounded=bounded, columns=["cell"]).collect()
+        assert {(r["query_id"], r["doc_id"]) for r in got} == {(1, "d0"), (2, "d0")}
+        assert {r["cell"] for r in got} == {"", "x" * 90}
+        assert D.search_cells(index, queries.limit(0), 2, bounded=bounded).count() == 0
+    none = D.build_cells(corpus.limit(0))
+    assert len(none.centres) == 0 and none.rows.columns == index.rows.columns
+    assert D.search_cells(D.open_cells(spark, none.folder), queries, 2, columns=["cell"]).count() == 0
+
+
 def test_hash_vector_matches_plain_python(spark):
     import hashlib
 
