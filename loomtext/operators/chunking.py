@@ -17,7 +17,6 @@ from ..functions.constants import (
     CHUNK_SIZE,
 )
 from ..functions.text import let, strip, text_lengths
-from .scale import spread
 
 
 def _check(size: int, overlap: int) -> None:
@@ -123,9 +122,8 @@ def chunk_text(
         chunks = char_windows(text_col, size, overlap)
     else:
         chunks = recursive_chunks(text_col, size, overlap, separators)
-    texts = spread(df.select(id_col, text_col), id_col)
     return (
-        texts.select(id_col, F.posexplode_outer(chunks).alias("_i", "_chunk"))
+        df.select(id_col, F.posexplode_outer(chunks).alias("_i", "_chunk"))
         .filter(F.col("_chunk").isNotNull())
         .select(id_col, (F.col("_i") + 1).alias("chunk_no"), F.col("_chunk").alias("text"))
     )
@@ -158,15 +156,13 @@ def chunk_size_sweep(
     separators: Sequence[str] = CHUNK_SEPARATORS,
 ) -> DataFrame:
     """Chunks and mean words per chunk for several sizes, in one pass over the texts."""
-    texts = spread(df.select(id_col, text_col), id_col)
-
     def split(size: int) -> Column:
         overlap = int(size * overlap_ratio)
         if list(separators) == [""]:
             return char_windows(text_col, size, overlap)
         return recursive_chunks(text_col, size, overlap, separators)
 
-    per_text = texts.select(*[split(s).alias(f"_{s}") for s in sizes])
+    per_text = df.select(*[split(s).alias(f"_{s}") for s in sizes])
     word = text_lengths(F.col("_chunk"))[1]
     runs = F.array(
         *[

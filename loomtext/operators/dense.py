@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import math
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -26,7 +25,7 @@ from .scale import (
     hash_key,
     hash_rank,
     ordered_number,
-    scratch_dir,
+    scratch_path,
     top_k,
     within_bound,
     written,
@@ -443,7 +442,7 @@ def build_cells(
     without cells.
     """
     spark = corpus.sparkSession
-    folder = folder or f"{scratch_dir(spark)}/cell-index-{uuid.uuid4().hex}"
+    folder = folder or scratch_path(spark, "cell-index")
     if centres is None:
         n, width = corpus.agg(F.count(vector), F.max(F.size(vector))).first()
         most = max(1, BROADCAST_BYTES // (8 * max(width or 1, 1)))

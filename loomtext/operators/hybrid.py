@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import run_lengths, tokenize_and_clean
 from .lexical import LexicalModel, count_words
-from .scale import BROADCAST_BYTES, salted_join, spread, top_k, within_bound, written
+from .scale import BROADCAST_BYTES, salted_join, top_k, within_bound, written
 
 
 def bm25_topk(
@@ -29,8 +29,7 @@ def bm25_topk(
     words are brought together by document before they meet the queries, so that scores are summed
     and cut to the best in place and no pair of query and document is shuffled.
     """
-    texts = spread(docs.select(doc_id, text_col), doc_id)
-    tokens = texts.select(doc_id, tokenize_and_clean(text_col, **options).alias("_t"))
+    tokens = docs.select(doc_id, tokenize_and_clean(text_col, **options).alias("_t"))
     mean_length = model.idf.agg((F.sum("cf") / model.n_docs).alias("a")).scalar()
     terms = tokens.select(
         doc_id,

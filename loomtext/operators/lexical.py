@@ -31,7 +31,6 @@ from .scale import (
     lookup_join,
     ordered_number,
     salted_join,
-    spread,
     top_k,
     within_bound,
     written,
@@ -50,8 +49,7 @@ def term_counts(df: DataFrame, id_col: str, tokens: Column) -> DataFrame:
 
 
 def count_words(df: DataFrame, id_col: str, text_col: str, **options) -> DataFrame:
-    texts = spread(df.select(id_col, text_col), id_col)
-    return term_counts(texts, id_col, tokenize_and_clean(text_col, **options))
+    return term_counts(df, id_col, tokenize_and_clean(text_col, **options))
 
 
 def fit_idf(counts: DataFrame, n_docs: int) -> DataFrame:
@@ -557,8 +555,7 @@ def ngram_space_metrics(
             ]
         ),
     )
-    texts = spread(docs.select(id_col, text_col), id_col)
-    lengths = texts.select(F.inline_outer(per_length))
+    lengths = docs.select(F.inline_outer(per_length))
     grams = lengths.select("n", F.explode_outer("grams").alias("gram")).filter(
         F.col("gram").isNotNull()
     )

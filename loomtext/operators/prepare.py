@@ -41,17 +41,19 @@ def assemble_pages(
 
 
 def dedupe_in_group(df: DataFrame, group: str, text: str, order: str) -> DataFrame:
-    """First row by ``order`` of every distinct text in a group, with the number of copies.
+    """Whole first row by ``order`` of every distinct text in a group, with the number of copies.
 
     Copies are folded before the shuffle by a digest of the text, so a text that fills a third of
-    the table leaves each task as one short row.
+    the table leaves each task as one row. Texts that are null are copies of each other, and so
+    are groups that are null. ``order`` should be unique: of rows that tie, any may stay. A row
+    whose ``order`` is null stays only if it has no copy with one.
     """
-    digest = F.sha2(F.col(text), 256)
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    place = F.struct(F.col(order).isNull(), F.col(order))
     return (
-        df.select(group, order, digest.alias("_digest"))
-        .groupBy(group, "_digest")
-        .agg(F.min(order).alias(order), F.count(F.lit(1)).alias("n_copies"))
-        .drop("_digest")
+        df.groupBy(F.col(group).alias("_group"), F.sha2(F.col(text), 256).alias("_digest"))
+        .agg(F.min_by(row, place).alias("_row"), F.count(F.lit(1)).alias("n_copies"))
+        .select("_row.*", "n_copies")
     )
 
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +25,8 @@ HOT_KEYS = 10_000
 # more where those would exceed PIECE_ROWS.
 RANK_DIGITS, PIECE_ROWS = 3, 1_000_000
 
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
 
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
@@ -39,27 +44,50 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; inside ``scratch_tables`` it is deleted at the end."""
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder in whatever file system its path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``written`` stores inside the block once it ends, failed or not.
+
+    For work whose result is stored before the block ends, such as a batch of a stream: a frame
+    that is still lazy then would miss its tables. Blocks may be nested; each owns its own.
+    """
+    owned: list[str] = []
+    token = _owned.set(owned)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        for path in owned:
+            remove_path(spark, path)
+
+
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Cuts the lineage, survives executor loss, and gives later joins true file sizes and cheap
     counts from the file footers.
     """
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a table that is read by fewer tasks than there are cores, by its row key.
-
-    Such a table is small: a larger one is cut into more tasks than that by its bytes.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if 0 < df.rdd.getNumPartitions() < cores else df
-
-
 def _row_bytes(schema: T.StructType) -> Column:
     width = F.lit(8 * len(schema.fields)).cast("long")
     for field in schema.fields:

@@ -14,7 +14,7 @@ from ..functions.constants import (
 from ..operators import classify as C
 from ..operators import dense as D
 from ..operators import evaluate as E
-from ..operators.scale import spread, written
+from ..operators.scale import written
 
 from . import sql as S
 from .tables import Registry, documents, questions, table, texts
@@ -312,7 +312,7 @@ def predict_with_fallback(spark, sf):
 
 @R.add("retrain_with_new_class")
 def retrain(spark, sf):
-    labelled = spread(documents(spark, sf).select("doc_id", "lang", "text"), "doc_id")
+    labelled = documents(spark, sf).select("doc_id", "lang", "text")
     # Embedded once, read by every pass of the fit and by the prediction.
     train = written(
         D.embed_text(labelled).select(F.col("lang").alias("intent"), "embedding"), "train"

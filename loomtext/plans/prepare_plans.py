@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import prepare as P
-from ..operators.scale import scratch_dir, spread
+from ..operators.scale import scratch_path
 from ..schemas import INTENT
 from ..sources import replies as J
 from ..sources.files import ingest_files
 from ..sources.records import inline_records, read_records, write_records
 from . import sql as S
-from .tables import Registry, documents, table
+from .tables import Registry, dealt, documents, table
 
 R = Registry()
 
@@ -75,7 +73,7 @@ def with_full_text(spark, sf):
 
 @R.add("write_records", "SELECT doc_id, lang, source, text FROM documents WHERE text IS NOT NULL")
 def write_and_read(spark, sf):
-    path = f"{scratch_dir(spark)}/records-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "records")
     columns = ["doc_id", "lang", "source", "text"]
     write_records(documents(spark, sf), path, columns)
     schema = T.StructType([DOCUMENT[c] for c in columns])
@@ -96,7 +94,7 @@ def assemble_pages(spark, sf):
 @R.add("ingest_files", "SELECT text FROM conversations WHERE text <> ''")
 def ingest(spark, sf):
     # The turns as text files with form feeds between pages, then read back page by page.
-    path = f"{scratch_dir(spark)}/files-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "files")
     turns = table(spark, sf, "conversations").select("text").filter(F.col("text") != "")
     turns.write.option("lineSep", "\f").text(path)
     return ingest_files(spark, path, pattern="*.txt").select("text").filter(F.col("text") != "")
@@ -140,7 +138,7 @@ def parse_replies(spark, sf):
         .when(shape == 3, F.concat(props, F.lit(" and ["), props, F.lit("]")))
         .otherwise(F.expr("substring(props, 1, length(props) - 1)"))
     )
-    events = spread(table(spark, sf, "events").select("event_id", "props"), "event_id")
+    events = dealt(table(spark, sf, "events").select("event_id", "props"), "event_id")
     parsed = events.select("event_id", J.parse_llm_json(reply).alias("v"))
     number = F.coalesce(
         F.try_variant_get("v", "$.k", "long"), F.try_variant_get("v", "$[0].k", "long")
@@ -155,7 +153,7 @@ def parse_replies(spark, sf):
 
 def conversation_replies(spark, sf):
     """Replies built from every turn: a plain array, or an object wrapped in other words."""
-    turns = spread(table(spark, sf, "conversations"), "conv_id", "turn")
+    turns = dealt(table(spark, sf, "conversations"), "conv_id", "turn")
     plain = F.to_json(F.array("text", "role"))
     entries = F.array(
         F.to_json(F.struct(F.col("text").alias("question"), F.col("role").alias("answer"))),
@@ -204,11 +202,13 @@ def validate(spark, sf):
 
 @R.add(
     "dedupe_in_group",
-    """SELECT source, min(doc_id) AS doc_id, count(*) AS n_copies
+    """SELECT source, min(doc_id) AS doc_id, count(*) AS n_copies, arg_min(lang, doc_id) AS lang,
+         arg_min(n_chars, doc_id)::BIGINT AS n_chars, md5(text) AS digest
        FROM documents GROUP BY source, text""",
 )
 def dedupe(spark, sf):
-    return P.dedupe_in_group(documents(spark, sf), "source", "text", "doc_id")
+    kept = P.dedupe_in_group(documents(spark, sf), "source", "text", "doc_id")
+    return kept.withColumn("digest", F.md5("text")).drop("text")
 
 
 @R.add(
