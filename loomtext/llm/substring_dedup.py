@@ -6,12 +6,17 @@ only what is left reaches the full length. At the shorter lengths each full wind
 represented by its least window (by hash), the same one in equal windows wherever they stand; that
 keeps one in eight positions and loses no repetition.
 
+Texts are dealt by document into a bucketed table once. What a level finds per document is joined
+with that table bucket by bucket, so no later step shuffles a text.
+
 Full windows are shuffled as stretches that are cut where a window's hash says so: equal
 stretches collapse to their first occurrence before single windows are looked at.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,11 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.llm.words import SPACED, Words, batch_words, mix
-from loomtext.operators.scale import within_bound, written
+from loomtext.operators.scale import scratch_path, written
 
 WINDOW = 20
 SHORTEST = 5
 CUT = 16  # windows in a stretch on average
+BUCKET_BYTES = 64 * 1024 * 1024  # of text in a bucket, as far as MOST_BUCKETS allow
+MOST_BUCKETS = 100_000  # Spark's own limit
+COPIES = 1000  # equal rows that one task writes out at once
 
 
 def _anchors(w: Words, size: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,11 +83,38 @@ def _places(docs: DataFrame, size: int, before: int | None, window: int, counts:
                     columns = [hashes.view(np.int64), batch.column(0).take(rows), batch.column(1).take(rows), w.at[at].astype(np.int32)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "id", "mark", "at"])
 
-    return docs.mapInArrow(emit, "h long, n long" if counts else "h long, id long, mark int, at int")
+    return docs.mapInArrow(emit, "h long, n long" if counts else "h long, id long, mark long, at int")
+
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows of ``id, mark, text`` as a stored table of buckets by id and mark, with ``copies``.
 
-def _joined(docs: DataFrame, small: DataFrame, how: str) -> DataFrame:
-    return docs.join(F.broadcast(small) if within_bound(small) else small, ["id", "mark"], how)
+    Equal rows are folded into one before the shuffle if there are any, so that no key is hot.
+    There are as many buckets as a shuffle has partitions at least, as Spark would else deal the
+    table anew for a join. The table lies in the shared folder; its name is taken out of the catalog.
+    """
+    spark = rows.sparkSession
+    keys = rows.groupBy("id", "mark").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("size"))
+    most, size = keys.agg(F.max("n"), F.sum("size")).first()
+    if (most or 1) == 1:
+        rows = rows.withColumn("copies", F.lit(1).cast("long"))
+    else:
+        rows = rows.groupBy("id", "mark", "text").agg(F.count(F.lit(1)).alias("copies"))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    first = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    buckets = max(partitions, int(first or 1), math.ceil((size or 0) / BUCKET_BYTES))
+    buckets = min(buckets, MOST_BUCKETS)
+    name = f"substring_texts_{uuid.uuid4().hex}"
+    writer = rows.repartition(buckets, "id", "mark").write.bucketBy(buckets, "id", "mark")
+    writer.option("path", scratch_path(spark, "substring-texts")).saveAsTable(name, format="parquet")
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    return table
+
+
+def _joined(docs: DataFrame, found: DataFrame, how: str) -> DataFrame:
+    """What was found per document beside its text; only ``found`` is shuffled."""
+    return docs.join(found.hint("shuffle_hash"), ["id", "mark"], how)
 
 
 def _repeated_places(docs: DataFrame, size: int, before: int | None, window: int) -> DataFrame:
@@ -122,7 +157,7 @@ def _stretches(docs: DataFrame, before: int, window: int, spell: bool) -> DataFr
                     names.append("hashes")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.mapInArrow(emit, "key long, n int, id long, mark int, at int" + (", hashes binary" if spell else ""))
+    return docs.mapInArrow(emit, "key long, n int, id long, mark long, at int" + (", hashes binary" if spell else ""))
 
 
 def _single(stretches: DataFrame) -> DataFrame:
@@ -141,7 +176,7 @@ def _single(stretches: DataFrame) -> DataFrame:
             columns = [pa.array(h), batch.column(0).take(take), batch.column(1).take(take), pa.array(at)]
             yield pa.RecordBatch.from_arrays(columns, names=["h", "id", "mark", "at"])
 
-    return stretches.select("id", "mark", "at", "hashes", "n").mapInArrow(emit, "h long, id long, mark int, at int")
+    return stretches.select("id", "mark", "at", "hashes", "n").mapInArrow(emit, "h long, id long, mark long, at int")
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -190,11 +225,15 @@ def dedup_substrings(
     a text are ordered by a hash of the text. Other columns are ignored; an empty table gives an
     empty result. Windows are compared by 64-bit hashes.
     """
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("id"), F.hash(text_col).alias("mark"), F.col(text_col).cast("string").alias("text")
+    rows = _dealt(
+        docs.select(
+            F.col(id_col).cast("long").alias("id"),
+            F.xxhash64(text_col).alias("mark"),
+            F.col(text_col).cast("string").alias("text"),
+        )
     )
-    spans = repeated_windows(rows.filter("id IS NOT NULL"), window)
-    marked = _joined(rows, spans, "left").select("id", "text", "spans")
+    spans = repeated_windows(rows.filter("id IS NOT NULL").drop("copies"), window)
+    marked = _joined(rows, spans, "left").select("id", "text", "spans", "copies")
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,7 +250,15 @@ def dedup_substrings(
                 counts.append(n)
                 removed.append(n - len(words))
                 texts.append(b" ".join(words).decode())
-            columns = [batch.column(0), pa.array(counts, type=pa.int64()), pa.array(removed, type=pa.int64()), pa.array(texts, type=pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "text"])
-
-    return marked.mapInArrow(strip, "doc_id long, n_words long, n_removed long, text string")
+            columns = [batch.column(0), pa.array(counts, type=pa.int64()), pa.array(removed, type=pa.int64()), pa.array(texts, type=pa.string()), batch.column(3)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "copies"])
+
+    names = ["doc_id", "n_words", "n_removed", "text"]
+    left = marked.mapInArrow(strip, "doc_id long, n_words long, n_removed long, text string, copies long")
+    if rows.filter("copies > 1").isEmpty():
+        return left.select(*names)
+    # Folded rows are written out again by many tasks.
+    part = F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / COPIES))
+    parts = left.withColumn("part", F.explode(part)).hint("rebalance")
+    more = F.least(F.lit(COPIES).cast("long"), F.col("copies") - F.col("part") * COPIES)
+    return parts.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), more))).select(*names)

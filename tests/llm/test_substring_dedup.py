@@ -55,3 +55,20 @@ def test_odd_rows(spark):
 def test_query(spark):
     sf = "/root/testdata/sf0.01"
     assert differences(queries.op7_substring_dedup(spark, sf), connect(sf), queries.OP7_SQL) == []
+
+
+def test_repeated_rows_are_written_out_again(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "COPIES", 2)
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text)] * 5 + [(2, text)] * 4 + [(3, "short")] + [(None, None)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring_dedup.dedup_substrings(docs).collect()
+    assert sorted((r.doc_id or 0, r.n_removed) for r in got) == [(0, 0)] * 3 + [(1, 0)] * 5 + [(2, 30)] * 4 + [(3, 0)]
+
+
+def test_texts_are_shuffled_once(spark):
+    docs = spark.createDataFrame([(i, f"{i} " * 40) for i in range(50)], "doc_id long, text string")
+    rows = substring_dedup._dealt(docs.selectExpr("doc_id AS id", "xxhash64(text) AS mark", "text"))
+    spans = spark.createDataFrame([(1, 2, [3])], "id long, mark long, spans array<int>")
+    plan = substring_dedup._joined(rows, spans, "left")._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and plan.count("Exchange hashpartitioning") == 1
