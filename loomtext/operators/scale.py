@@ -88,6 +88,16 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a table that is read by fewer tasks than there are cores, by its row key.
+
+    Such a table is small: a larger one is cut into more tasks than that by its bytes. For tables
+    just read, whose tasks are known without running anything; operators do not call it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if 0 < df.rdd.getNumPartitions() < cores else df
+
+
 def _row_bytes(schema: T.StructType) -> Column:
     width = F.lit(8 * len(schema.fields)).cast("long")
     for field in schema.fields:

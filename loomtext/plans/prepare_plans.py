@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import prepare as P
-from ..operators.scale import scratch_path
+from ..operators.scale import scratch_path, spread
 from ..schemas import INTENT
 from ..sources import replies as J
 from ..sources.files import ingest_files
 from ..sources.records import inline_records, read_records, write_records
 from . import sql as S
-from .tables import Registry, dealt, documents, table
+from .tables import Registry, documents, table
 
 R = Registry()
 
@@ -138,7 +138,7 @@ def parse_replies(spark, sf):
         .when(shape == 3, F.concat(props, F.lit(" and ["), props, F.lit("]")))
         .otherwise(F.expr("substring(props, 1, length(props) - 1)"))
     )
-    events = dealt(table(spark, sf, "events").select("event_id", "props"), "event_id")
+    events = spread(table(spark, sf, "events").select("event_id", "props"), "event_id")
     parsed = events.select("event_id", J.parse_llm_json(reply).alias("v"))
     number = F.coalesce(
         F.try_variant_get("v", "$.k", "long"), F.try_variant_get("v", "$[0].k", "long")
@@ -153,7 +153,7 @@ def parse_replies(spark, sf):
 
 def conversation_replies(spark, sf):
     """Replies built from every turn: a plain array, or an object wrapped in other words."""
-    turns = dealt(table(spark, sf, "conversations"), "conv_id", "turn")
+    turns = spread(table(spark, sf, "conversations"), "conv_id", "turn")
     plain = F.to_json(F.array("text", "role"))
     entries = F.array(
         F.to_json(F.struct(F.col("text").alias("question"), F.col("role").alias("answer"))),

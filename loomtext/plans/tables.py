@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.scale import spread
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -15,18 +17,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def dealt(df: DataFrame, *keys: str) -> DataFrame:
-    """A table just read, dealt by its row key if its files give fewer tasks than there are cores.
-
-    Such a table is small: a larger one is cut into more tasks by its bytes. For scans alone, whose
-    tasks are known without running anything.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if 0 < df.rdd.getNumPartitions() < cores else df
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dealt(table(spark, sf_dir, "documents"), "doc_id")
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
 
 
 def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
