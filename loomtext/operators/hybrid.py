@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import run_lengths, tokenize_and_clean
 from .lexical import LexicalModel, count_words
-from .scale import BROADCAST_BYTES, salted_join, top_k, within_bound, written
+from .scale import BROADCAST_BYTES, dealt, lookup_join, top_k, within_bound, written
+from .scoring import best_pairs, query_blocks
 
 
 def bm25_topk(
@@ -25,9 +28,9 @@ def bm25_topk(
     """Best documents per query by BM25, summed over the distinct words of the query.
 
     Lengths and counts come from the document's own row and the mean length from the fitted
-    vocabulary; only words that some query uses leave the scan. For a bounded set of queries those
-    words are brought together by document before they meet the queries, so that scores are summed
-    and cut to the best in place and no pair of query and document is shuffled.
+    vocabulary; only words that some query uses leave the scan. Those words are brought together by
+    document before they meet the queries, block by block of a broadcast's size, so that scores are
+    summed and cut to the best in place and no pair of query and document is shuffled.
     """
     tokens = docs.select(doc_id, tokenize_and_clean(text_col, **options).alias("_t"))
     mean_length = model.idf.agg((F.sum("cf") / model.n_docs).alias("a")).scalar()
@@ -41,19 +44,29 @@ def bm25_topk(
     side = F.broadcast(words) if bounded else words
     rarity = F.log(1 + (F.lit(float(model.n_docs)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     asked = model.idf.join(side, "term").select(query_id, "term", rarity.alias("_rarity"))
-    if bounded:
-        asked = written(asked, "asked")
-        bounded = within_bound(asked)
-    if bounded:
-        used = terms.join(F.broadcast(asked.select("term").distinct()), "term", "left_semi")
-        pairs = used.repartition(doc_id).join(F.broadcast(asked), "term")
-    else:
-        frequency = model.idf.select("term", F.col("df").alias("n_rows"))
-        pairs = salted_join(terms, asked, "term", doc_id, weights=frequency)
+    asked = written(asked, "asked")
+    bounded = within_bound(asked)
+    used = lookup_join(
+        terms,
+        asked.select("term").distinct(),
+        "term",
+        doc_id,
+        model.idf.select("term", F.col("df").alias("n_rows")),
+        small_is_bounded=bounded,
+        rows=model.n_postings,
+    )
     damped = F.col("tf") + k1 * (1 - b + b * F.col("_length") / mean_length)
-    part = F.col("_rarity") * F.col("tf") * (k1 + 1) / damped
-    scores = pairs.groupBy(query_id, doc_id).agg(F.sum(part).alias("bm25_score"))
-    return top_k(scores, query_id, "bm25_score", doc_id, top)
+    hit = F.struct("term", (F.col("tf") * (k1 + 1) / damped).alias("doc_weight"))
+    by_document = dealt(used, model.n_postings, doc_id).groupBy(doc_id)
+    weights = by_document.agg(F.collect_list(hit).alias("hits"))  # at most the words of one text
+    if not bounded:
+        weights = written(weights, "okapi")
+    vectors = asked.withColumnRenamed("_rarity", "weight")
+    best = [
+        best_pairs(weights, block, top, doc_id, query_id, "bm25_score")
+        for block in query_blocks(vectors, bounded, query_id)
+    ]
+    return reduce(DataFrame.unionByName, best)
 
 
 def rrf_fuse(
