@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +20,9 @@ from ..functions.constants import (
 )
 from ..functions.text import let, strip, text_lengths
 
+# Texts of a batch that are cut together, in bytes; a longer text goes alone.
+SLICE_BYTES = 1 << 20
+
 
 def _check(size: int, overlap: int) -> None:
     if size < 1 or overlap < 0 or overlap >= size:
@@ -91,18 +96,63 @@ def split_recursive(text: str, size: int, overlap: int, separators: Sequence[str
     return chunks + _pack(short, size, overlap)
 
 
-def recursive_chunks(
-    text: Column | str, size: int, overlap: int, separators: Sequence[str]
-) -> Column:
-    """Recursive split of each text in Arrow batches; the rows stay where they are."""
-    _check(size, overlap)
-    order = tuple(separators)
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of parts of an Arrow column of about ``SLICE_BYTES`` each."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
+    lo = 0
+    while lo < len(texts):
+        before = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right")))
+        yield lo, hi - lo
+        lo = hi
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: split_recursive(t, size, overlap, order) if t else [])
 
-    return split(F.col(text) if isinstance(text, str) else text)
+def recursive_chunks(
+    df: DataFrame,
+    id_col: str | None,
+    text_col: str,
+    settings: Sequence[tuple[int, int]],
+    separators: Sequence[str],
+) -> DataFrame:
+    """(id, _size, _overlap, _i, _chunk): recursive split of each text by each (size, overlap).
+
+    Works on Arrow batches, some texts at a time, so that a task holds the chunks of about
+    ``SLICE_BYTES`` of text whatever its batch; the rows stay where they are.
+    """
+    for size, overlap in settings:
+        _check(size, overlap)
+    order = tuple(separators)
+    keys = [id_col] if id_col else []
+    rows = df.select(*keys, F.col(text_col).alias("_text"))
+    fields = [T.StructField(f.name, f.dataType) for f in rows.schema.fields[:-1]]
+    for name in ("_size", "_overlap", "_i"):
+        fields.append(T.StructField(name, T.IntegerType()))
+    fields.append(T.StructField("_chunk", T.StringType()))
+    names = [f.name for f in fields]
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, n in _slices(batch.column(batch.num_columns - 1)):
+                part = batch.slice(lo, n)
+                *ids, texts = part.columns
+                texts = texts.to_pylist()
+                for size, overlap in settings:
+                    lists = [split_recursive(t, size, overlap, order) if t else [] for t in texts]
+                    counts = [len(x) for x in lists]
+                    total = sum(counts)
+                    row = pa.array(np.repeat(np.arange(n), counts))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            *[c.take(row) for c in ids],
+                            pa.array(np.full(total, size, np.int32)),
+                            pa.array(np.full(total, overlap, np.int32)),
+                            pa.array([i for c in counts for i in range(c)], pa.int32()),
+                            pa.array([c for x in lists for c in x], pa.string()),
+                        ],
+                        names=names,
+                    )
+
+    return rows.mapInArrow(split, T.StructType(fields))
 
 
 def chunk_text(
@@ -120,11 +170,11 @@ def chunk_text(
     """
     if list(separators) == [""]:
         chunks = char_windows(text_col, size, overlap)
+        pieces = df.select(id_col, F.posexplode_outer(chunks).alias("_i", "_chunk"))
     else:
-        chunks = recursive_chunks(text_col, size, overlap, separators)
+        pieces = recursive_chunks(df, id_col, text_col, [(size, overlap)], separators)
     return (
-        df.select(id_col, F.posexplode_outer(chunks).alias("_i", "_chunk"))
-        .filter(F.col("_chunk").isNotNull())
+        pieces.filter(F.col("_chunk").isNotNull())
         .select(id_col, (F.col("_i") + 1).alias("chunk_no"), F.col("_chunk").alias("text"))
     )
 
@@ -156,29 +206,25 @@ def chunk_size_sweep(
     separators: Sequence[str] = CHUNK_SEPARATORS,
 ) -> DataFrame:
     """Chunks and mean words per chunk for several sizes, in one pass over the texts."""
-    def split(size: int) -> Column:
-        overlap = int(size * overlap_ratio)
-        if list(separators) == [""]:
-            return char_windows(text_col, size, overlap)
-        return recursive_chunks(text_col, size, overlap, separators)
-
-    per_text = df.select(*[split(s).alias(f"_{s}") for s in sizes])
+    settings = [(s, int(s * overlap_ratio)) for s in sizes]
+    if list(separators) == [""]:
+        per_text = df.select(*[char_windows(text_col, *x).alias(f"_{x[0]}") for x in settings])
+        runs = F.array(
+            *[
+                F.struct(
+                    F.lit(s).alias("_size"), F.lit(o).alias("_overlap"), F.col(f"_{s}").alias("_chunks")
+                )
+                for s, o in settings
+            ]
+        )
+        listed = per_text.select(F.inline_outer(runs))
+        pieces = listed.select("_size", "_overlap", F.explode_outer("_chunks").alias("_chunk"))
+    else:
+        pieces = recursive_chunks(df, None, text_col, settings, separators)
     word = text_lengths(F.col("_chunk"))[1]
-    runs = F.array(
-        *[
-            F.struct(
-                F.lit(s).alias("chunk_size"),
-                F.lit(int(s * overlap_ratio)).alias("chunk_overlap"),
-                F.col(f"_{s}").alias("_chunks"),
-            )
-            for s in sizes
-        ]
-    )
     return (
-        per_text.select(F.inline_outer(runs))
-        .select("chunk_size", "chunk_overlap", F.explode_outer("_chunks").alias("_chunk"))
-        .filter(F.col("_chunk").isNotNull())
-        .groupBy("chunk_size", "chunk_overlap")
+        pieces.filter(F.col("_chunk").isNotNull())
+        .groupBy(F.col("_size").alias("chunk_size"), F.col("_overlap").alias("chunk_overlap"))
         .agg(F.count(F.lit(1)).alias("n_chunks"), F.round(F.avg(word), 1).alias("mean_words"))
     )
 

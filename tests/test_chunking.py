@@ -98,3 +98,25 @@ def test_sweep_equals_single_runs(spark):
     for size in (100, 400, 1200):
         single = K.chunk_text(corpus, size=size, overlap=int(size * 0.2)).count()
         assert swept[size] == single
+
+
+def test_recursive_chunks_hold_a_slice_of_a_batch(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(K, "SLICE_BYTES", 10)
+    texts = pa.array(["aaaa", None, "bbbb", "c" * 50, "", "dd"])
+    assert list(K._slices(texts)) == [(0, 3), (3, 1), (4, 2)]
+    assert list(K._slices(texts.slice(2))) == [(0, 1), (1, 1), (2, 2)]
+
+
+def test_recursive_chunks_of_long_batches(spark):
+    texts = [(i, f"{i} " + "word " * (i * 37 % 900)) for i in range(700)] + [(None, "x. y"), (7, None)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    expected = sorted(
+        (-1 if d is None else d, n, c)
+        for d, t in texts
+        for n, c in enumerate(K.split_recursive(t, 400, 80, K.CHUNK_SEPARATORS) if t else [], 1)
+    )
+    found = K.chunk_text(df)
+    assert found.schema["chunk_no"].dataType.simpleString() == "int"
+    assert sorted((d if d is not None else -1, n, c) for d, n, c in map(tuple, found.collect())) == expected
