@@ -33,7 +33,11 @@ from .scale import (
 
 DIM = 64
 FIT_PER_CELL = 256  # rows that cell centres are fitted on, per cell
-_ROW_BLOCK = 1024  # query rows multiplied at once inside a task
+LEAST_BLOCK = 4096  # query rows of a grid's block that is not cut to occupy more tasks
+MANY_CELLS = 128  # more centres than this start from random rows
+# Query rows and corpus rows multiplied at once inside a task; their scores take 16 MB.
+_ROW_BLOCK, _CORPUS_BLOCK = 1024, 2048
+_CELL_GAPS = 1 << 21  # distances to centres that a task holds at once
 
 Encoder = Callable[[list[str]], np.ndarray]
 
@@ -42,11 +46,9 @@ Encoder = Callable[[list[str]], np.ndarray]
 
 
 def _code(token: Column, dim: int) -> Column:
-    """2 * bucket + sign bit of a token, from its md5."""
-    digest = F.md5(token)
-    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % dim
-    sign = F.conv(F.substring(digest, 9, 1), 16, 10).cast("long") % 2
-    return (bucket * 2 + sign).cast("int")
+    """2 * bucket + sign bit of a token, from its md5: the bucket from 8 digits, the sign from the next."""
+    head = F.conv(F.substring(F.md5(token), 1, 9), 16, 10).cast("long")
+    return let(head, lambda h: (F.shiftright(h, 4) % dim * 2 + h % 2).cast("int"))
 
 
 def hash_vector(tokens: Column, dim: int = DIM) -> Column:
@@ -184,33 +186,55 @@ def _best(q: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int):
 
 
 def _scan_block(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int):
-    """Best k rows of one block of vectors for each query, of ties at the cut the smallest ids."""
-    found, places = [], None
+    """Best k rows of one block of vectors for each query, of ties at the cut the smallest ids.
+
+    A part of the queries meets a part of the vectors at a time, so memory does not depend on
+    either side. A score below the k-th best found before is not looked at again.
+    """
+    found = []
     for lo in range(0, len(queries), _ROW_BLOCK):
-        scores = queries[lo : lo + _ROW_BLOCK] @ vectors.T
-        rounded = np.round(scores, 9)
-        if scores.shape[1] > k:
-            cut = np.partition(rounded, -k, axis=1)[:, -k, None]
-            kept = rounded >= cut
-            crowded = np.flatnonzero(np.count_nonzero(kept, axis=1) > k)
-            if len(crowded):
-                if places is None:
-                    places = np.argsort(ids, kind="stable")
-                ordered = rounded[crowded][:, places]
-                above, tied = ordered > cut[crowded], ordered == cut[crowded]
-                room = k - np.count_nonzero(above, axis=1)
-                few = np.empty_like(above)
-                few[:, places] = above | (tied & (np.cumsum(tied, axis=1, dtype=np.int32) <= room[:, None]))
-                kept[crowded] = few
-            q, i = np.nonzero(kept)
-        else:
-            q, i = (a.ravel() for a in np.indices(scores.shape))
-        found.append(_best(q + lo, ids[i], scores[q, i], k))
+        part = queries[lo : lo + _ROW_BLOCK]
+        least = np.full(len(part), -np.inf)
+        best = None
+        for at in range(0, len(vectors), _CORPUS_BLOCK):
+            end = at + _CORPUS_BLOCK
+            new = _scan_part(part, ids[at:end], vectors[at:end], k, least)
+            if best is not None:
+                if not len(new[0]):
+                    continue
+                new = _best(*(np.concatenate(p) for p in zip(best, new)), k)
+            best = new
+            ends = np.cumsum(np.bincount(best[0], minlength=len(part)))
+            full = np.flatnonzero(np.diff(ends, prepend=0) == k)
+            least[full] = np.round(best[2][ends[full] - 1], 9) - 1e-9
+        if best is not None:
+            found.append((best[0] + lo, *best[1:]))
     if not found:
         return np.zeros(0, np.int64), ids[:0], np.zeros(0)
     return tuple(np.concatenate(part) for part in zip(*found))
 
 
+def _scan_part(queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int, least: np.ndarray):
+    """The rows of a part of the vectors that are among the k best of it and not below ``least``."""
+    scores = queries @ vectors.T
+    kept = ~(scores < least[:, None])
+    if scores.shape[1] > k and np.count_nonzero(kept) > 2 * k * len(queries):
+        rounded = np.round(scores, 9)
+        cut = np.partition(rounded, -k, axis=1)[:, -k, None]
+        kept &= rounded >= cut
+        crowded = np.flatnonzero(np.count_nonzero(kept, axis=1) > k)
+        if len(crowded):
+            places = np.argsort(ids, kind="stable")
+            ordered = rounded[crowded][:, places]
+            above, tied = ordered > cut[crowded], ordered == cut[crowded]
+            room = k - np.count_nonzero(above, axis=1)
+            few = np.empty_like(above)
+            few[:, places] = above | (tied & (np.cumsum(tied, axis=1, dtype=np.int32) <= room[:, None]))
+            kept[crowded] &= few
+    q, i = np.nonzero(kept)
+    return _best(q, ids[i], scores[q, i], k)
+
+
 def _ids(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False)
 
@@ -313,7 +337,7 @@ def grid_topk(
     c: DataFrame,
     k: int,
     part: str | None = None,
-    query_rows: int = 4096,
+    query_rows: int = 32_768,
     corpus_rows: int = 65_536,
 ) -> DataFrame:
     """Top-k candidates from a grid of (query block, corpus slab) cells, each of bounded size.
@@ -327,8 +351,11 @@ def grid_topk(
         sizes = side.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
         return sizes.agg(F.max("n")).first()[0] or 0
 
-    blocks = max(1, math.ceil(largest(q) / query_rows))
+    asking = largest(q)
     slabs = max(1, math.ceil(largest(c) / corpus_rows))
+    # Smaller blocks where there would be fewer cells than tasks.
+    spare = math.ceil(2 * q.sparkSession.sparkContext.defaultParallelism / slabs)
+    blocks = max(1, math.ceil(asking / query_rows), min(spare, asking // LEAST_BLOCK))
     block_of = F.pmod(F.xxhash64("_q"), F.lit(blocks)).cast("int")
     slab_of = F.pmod(F.xxhash64("_c"), F.lit(slabs)).cast("int")
     left = q.withColumn("_block", block_of).withColumn(
@@ -393,32 +420,55 @@ class CellIndex:
 
 
 def fit_cells(corpus: DataFrame, n_cells: int, vector: str = "embedding", seed: int = 42):
-    """k-means centres of the corpus, as an (n_cells, d) array; the centres are all that is kept."""
+    """k-means centres of the corpus, as an (n_cells, d) array; the centres are all that is kept.
+
+    Many centres start from random rows: choosing spread ones takes a clustering in the driver that
+    grows with the square of their number.
+    """
     features = corpus.select(array_to_vector(as_double(vector)).alias("features"))
-    model = KMeans(k=n_cells, seed=seed, featuresCol="features").fit(features)
-    return np.array(model.clusterCenters())
+    means = KMeans(k=n_cells, seed=seed, featuresCol="features")
+    if n_cells > MANY_CELLS:
+        means = means.setInitMode("random")
+    return np.array(means.fit(features).clusterCenters())
 
 
 def nearest_cells(
     df: DataFrame, centres: np.ndarray, n: int, vector: str = "embedding", name: str = "cell"
 ):
     """Add the cell: one row per row and each of its n nearest centres."""
+    exploded = df.select("*", F.explode_outer(_cells_of(df, centres, n, vector)).alias(name))
+    return exploded.filter(F.col(name).isNotNull())
+
+
+def _cells_of(df: DataFrame, centres: np.ndarray, n: int, vector: str) -> Column:
+    """The n nearest centres as an array, null without a vector or without centres."""
     shared = df.sparkSession.sparkContext.broadcast(centres)
 
     @F.pandas_udf("array<int>")
     def pick(vectors: pd.Series) -> pd.Series:
         c = shared.value
         cells = pd.Series([None] * len(vectors), dtype=object)
-        rows = np.flatnonzero(vectors.notna())
-        if len(rows) and len(c):
+        present = np.flatnonzero(vectors.notna())
+        step = max(1, _CELL_GAPS // max(1, len(c)))
+        for lo in range(0, len(present) if len(c) else 0, step):
+            rows = present[lo : lo + step]
             m = np.vstack([np.asarray(vectors.iloc[i], dtype=np.float64) for i in rows])
-            gaps = (c * c).sum(1)[None, :] - 2.0 * (m @ c.T)
-            order = np.argsort(np.round(gaps, 12), axis=1, kind="stable")[:, :n]
-            cells.iloc[rows] = list(order.astype(np.int32))
+            cells.iloc[rows] = list(_nearest(m, c, n).astype(np.int32))
         return cells
 
-    exploded = df.select("*", F.explode_outer(pick(vector)).alias(name))
-    return exploded.filter(F.col(name).isNotNull())
+    return pick(vector)
+
+
+def _nearest(m: np.ndarray, c: np.ndarray, n: int) -> np.ndarray:
+    """The n nearest centres of each row, equal distances to 12 places by number."""
+    gaps = (c * c).sum(1)[None, :] - 2.0 * (m @ c.T)
+    if n > 1:
+        return np.argsort(np.round(gaps, 12), axis=1, kind="stable")[:, :n]
+    first = gaps.argmin(axis=1)
+    near = gaps <= gaps[np.arange(len(m)), first][:, None] + 1e-11
+    for i in np.flatnonzero(np.count_nonzero(near, axis=1) > 1):
+        first[i] = np.round(gaps[i], 12).argmin()
+    return first[:, None]
 
 
 def build_cells(
@@ -490,14 +540,19 @@ def search_cells(
     Queries without a vector find nothing. An index without cells gives no rows.
     """
     n_probe = n_probe or max(4, math.ceil(math.sqrt(len(index.centres))))
-    probing = nearest_cells(queries.select(query_id, vector), index.centres, n_probe, vector, "_cell")
-    probes = written(probing, "probes")
+    asked = queries.select(query_id, vector)
+    asked = asked.withColumn("_cells", _cells_of(asked, index.centres, n_probe, vector))
+    asked = written(asked, "probes").filter(F.col("_cells").isNotNull())
+    probes = asked.select("*", F.explode("_cells").alias("_cell"))
     probed = [r[0] for r in probes.select("_cell").distinct().collect()]  # at most as many as centres
     near = index.rows.filter(F.col("_cell").isin(probed))
     q, c = _sides(probes, near, query_id, corpus_id, vector, extra=["_cell"])
+    wide = F.col(vector).cast("array<double>").alias("_v")
+    rows = asked.select(F.col(query_id).alias("_q"), wide, "_cells")
     if bounded is None:
-        bounded = _fits(q)
-    found = _scan_cells(q, c, k) if bounded else grid_topk(q, c, k, part="_cell")
+        n_probes = asked.agg(F.sum(F.size("_cells"))).first()[0] or 0
+        bounded = _fits(rows) and 16 * n_probes <= BROADCAST_BYTES
+    found = _scan_cells(rows, c, k) if bounded else grid_topk(q, c, k, part="_cell")
     hits = _ranked(found, k, query_id, corpus_id)
     if not columns:
         return hits
@@ -510,18 +565,18 @@ def _scan_cells(q: DataFrame, c: DataFrame, k: int) -> DataFrame:
     table = _present(q.toArrow()).combine_chunks()  # measured by the caller
     query_type = table.schema.field("_q").type
     vectors = table.column("_v").combine_chunks()
-    cells = _ids(table.column("_cell").combine_chunks())
+    lists = table.column("_cells").combine_chunks()
+    asking, cells = _ids(lists.value_parent_indices()), _ids(lists.flatten())
+    order = np.argsort(cells, kind="stable")
+    numbers, starts = np.unique(cells[order], return_index=True)
+    by_cell = dict(zip(numbers.tolist(), np.split(asking[order], starts[1:])))
     shared = q.sparkSession.sparkContext.broadcast(
-        (
-            _ids(table.column("_q").combine_chunks()),
-            _matrix(vectors),
-            {int(cell): np.flatnonzero(cells == cell) for cell in np.unique(cells)},
-        )
+        (_ids(table.column("_q").combine_chunks()), _matrix(vectors), by_cell)
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, matrix, asking = shared.value
-        # A query stands in one row per cell it probes; its first row gathers what all of them find.
+        # Rows of the same query gather what all of them find.
         first: dict = {}
         gather = np.array([first.setdefault(x, n) for n, x in enumerate(query_ids.tolist())], dtype=np.int64)
         best = None

@@ -214,3 +214,37 @@ def test_ties_at_the_cut_keep_the_smallest_ids():
     q, found, scores = _scan_block(np.array([[1.0, 0.0], [0.0, 0.0]]), ids, vectors, 4)
     assert [sorted(found[q == n].tolist()) for n in (0, 1)] == [[0, 1, 98, 99], [0, 1, 2, 3]]
     assert len(scores) == 8
+
+
+def test_scan_memory_depends_on_neither_side():
+    import tracemalloc
+
+    from loomtext.operators.dense import _scan_block
+
+    rng = np.random.default_rng(5)
+    queries, vectors = rng.normal(size=(1500, 8)), np.round(rng.normal(size=(20_000, 8)), 1)
+    ids = rng.permutation(len(vectors))
+    tracemalloc.start()
+    q, found, scores = _scan_block(queries, ids, vectors, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100_000_000
+    exact = np.round(queries @ vectors.T, 9)
+    for n in range(0, 1500, 100):
+        best = sorted(zip(-exact[n], ids))[:3]
+        assert found[q == n].tolist() == [i for _, i in best]
+
+
+def test_many_cells_with_few_questions_are_scanned_in_place(spark):
+    rng = np.random.default_rng(6)
+    corpus, asked = rng.normal(size=(300, 4)), rng.normal(size=(60, 4))
+    c = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(corpus)], "doc_id long, embedding array<double>")
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "query_id long, embedding array<double>")
+    index = D.build_cells(c, centres=rng.normal(size=(900, 4)))
+    found = D.search_cells(index, q, 2, n_probe=900)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "CoGroup" not in plan
+    exact = np.argsort(-(asked @ corpus.T), axis=1)[:, :2]
+    assert {(r["query_id"], r["rank"]): r["doc_id"] for r in found.collect()} == {
+        (i, j + 1): exact[i, j] for i in range(60) for j in range(2)
+    }
