@@ -100,8 +100,11 @@ def ngrams(tokens: Column | str, min_n: int = 1, max_n: int = 1) -> Column:
     def of_size(words: Column, n: int) -> Column:
         if n == 1:
             return words
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
-        grams = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+        def gram(word: Column, i: Column) -> Column:
+            return F.concat_ws(" ", word, *[F.get(words, i + j) for j in range(1, n)])
+
+        starts = F.slice(words, 1, F.greatest(F.size(words) - (n - 1), F.lit(0)))
+        grams = F.when(F.size(words) >= n, F.transform(starts, gram))
         return F.coalesce(grams, F.array().cast("array<string>"))
 
     def every_size(words: Column) -> Column:

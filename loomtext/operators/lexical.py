@@ -7,10 +7,12 @@ per term; a search keeps, per document, one norm and the few weights that querie
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -574,20 +576,14 @@ def ngram_space_metrics(
         F.col("gram").isNotNull()
     )
     vocabulary = grams.groupBy("n", "gram").agg(F.count(F.lit(1)).alias("df"))
-    sizes = vocabulary.groupBy("n").agg(
-        F.count(F.lit(1)).alias("v"),
-        F.sum("df").alias("nnz"),
+    # One pass over the shuffled vocabulary; a few rows leave each task.
+    parts = vocabulary.mapInArrow(
+        _vocabulary_parts(n_samples), "n int, v long, nnz long, first array<string>"
     )
-    # Cut to a few rows per length before the shuffle; df rides along so that both branches read
-    # the same shuffled vocabulary.
-    order = Window.partitionBy("n").orderBy("gram")
-    first = (
-        vocabulary.withColumn("_i", F.row_number().over(order))
-        .filter(F.col("_i") <= n_samples)
-        .groupBy("n")
-        .agg(F.sort_array(F.collect_list(F.struct("gram", "df"))).alias("first"))
+    every = F.sort_array(F.flatten(F.collect_list("first")))
+    sizes = parts.groupBy("n").agg(
+        F.sum("v").alias("v"), F.sum("nnz").alias("nnz"), F.slice(every, 1, n_samples).alias("first")
     )
-    sizes = sizes.join(first, "n")
     # One row per n-gram length from here on.
     ranges = F.array(
         *[
@@ -602,12 +598,11 @@ def ngram_space_metrics(
         .agg(
             F.sum("v").alias("vocabulary_size"),
             F.sum("nnz").alias("non_zero"),
-            F.flatten(F.collect_list(F.when(F.col("n") > 1, F.col("first")))).alias("_first"),
+            F.flatten(F.collect_list(F.when(F.col("n") > 1, F.col("first")))).alias("_multi"),
         )
     )
     n_docs = docs.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
     samples = F.array_join(F.slice(F.array_sort("_multi"), 1, n_samples), ", ")
-    per_range = per_range.withColumn("_multi", F.transform("_first", lambda x: x["gram"]))
     return per_range.select(
         F.format_string("(%d, %d)", "min_n", "max_n").alias("ngram_range"),
         "vocabulary_size",
@@ -621,6 +616,35 @@ def ngram_space_metrics(
     )
 
 
+def _vocabulary_parts(k: int):
+    """Per task and n-gram length: terms, documents summed over them, and the k first terms."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, tuple[int, int, list[str]]] = {}
+        for batch in batches:
+            for n in pc.unique(batch.column(0)).to_pylist():
+                rows = batch.filter(pc.equal(batch.column(0), n))
+                v, nnz, first = found.get(n, (0, 0, []))
+                grams = rows.column(1)
+                if first and len(first) == k:
+                    grams = grams.filter(pc.less(grams, pa.scalar(first[-1], grams.type)))
+                order = pc.sort_indices(grams)[:k]
+                # Code points sort as UTF-8 bytes do.
+                first = sorted([*first, *grams.take(order).to_pylist()])[:k]
+                found[n] = v + rows.num_rows, nnz + pc.sum(rows.column(2)).as_py(), first
+        if found:
+            v, nnz, first = zip(*found.values())
+            columns = [
+                pa.array(list(found), pa.int32()),
+                pa.array(v, pa.int64()),
+                pa.array(nnz, pa.int64()),
+                pa.array(first, pa.list_(pa.string())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["n", "v", "nnz", "first"])
+
+    return scan
+
+
 def vector_audit(postings: DataFrame, docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Counted violations: vectors that are not of norm 1 or have a negative weight."""
     n_docs = docs.agg(F.count(F.lit(1)).alias("n")).scalar()

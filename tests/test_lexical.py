@@ -212,3 +212,23 @@ def test_fusion_prefers_documents_in_both_lists(spark):
     fused = rrf_fuse([a, b]).orderBy("rank").collect()
     assert [r["doc_id"] for r in fused] == [20, 10, 30]
     assert math.isclose(fused[0]["rrf_score"], 1 / 62 + 1 / 61)
+
+
+def test_ngram_metrics_pass_over_the_vocabulary_once_and_unsorted(spark):
+    texts = ["red fox red fox", "red fox den", "", None, "éa zoo fox", "fox"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    metrics = L.ngram_space_metrics(docs, n_samples=2)
+    plan = metrics._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("hashpartitioning(n#") <= 4
+    sets = defaultdict(list)
+    for words in token_map(docs, "doc_id").values():
+        for n in (1, 2, 3):
+            sets[n].append({" ".join(words[i : i + n]) for i in range(len(words) - n + 1)})
+    rows = {r["ngram_range"]: r for r in metrics.collect()}
+    for lo, hi in ((1, 1), (1, 2), (1, 3), (2, 2)):
+        row = rows[f"({lo}, {hi})"]
+        distinct = {g for n in range(lo, hi + 1) for grams in sets[n] for g in grams}
+        assert row["vocabulary_size"] == len(distinct)
+        assert row["non_zero"] == sum(len(grams) for n in range(lo, hi + 1) for grams in sets[n])
+        several = sorted(g for g in distinct if " " in g)[:2]
+        assert row["sample_features"] == (", ".join(several) or "None (Unigrams only)")
