@@ -8,7 +8,10 @@ pair at the threshold cannot all lack (prefix filtering), which misses nothing.
 
 Pairs are never spelled out within a bucket. Each round, a few members of every bucket (hubs) are
 compared with the others that are not in their component yet; then components are merged, buckets
-of one component are done, and the rest gets eight times as many hubs. Jaccard distance is a
+of one component are done, and the rest gets eight times as many hubs. After the first round the
+texts that are left are dealt anew, by the rarest shingles of their full sets: a band is shared by
+most of a large group of half similar texts, a rare shingle is not. The place of a shared shingle
+among the others of its set bounds what two sets can have in common. Jaccard distance is a
 metric, so the distances to a bucket's first hub rule out most of the pairs that are left. Shingles
 that no other candidate has are in no intersection: the sizes of two sets and of their shared parts
 bound their Jaccard, which rules out pairs, and whole members of a bucket, before any comparison.
@@ -176,7 +179,25 @@ def _shared_sizes(classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Per class ``rep, n, s``: the size of its set and of the part that other classes have too.
 
     Where rows repeat an id, the set is not known to be that of the text: ``s`` counts it whole.
+    ``single`` tells whether the id has one set all the same, as its texts are equal.
     """
+    spelled = _all_spelled(classes, texts)
+    alone = spelled.groupBy("key").agg(F.count(F.lit(1)).alias("df"), F.min("rep").alias("rep")).filter("df = 1")
+    own = alone.groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
+    sizes = classes.groupBy("rep").agg(F.min("n").alias("n"), F.max("n").alias("s"), F.count(F.lit(1)).alias("sets"))
+    mark = F.xxhash64("text")
+    rows = texts.groupBy("rep").agg(F.count(F.lit(1)).alias("rows"), (F.min(mark) == F.max(mark)).alias("equal"))
+    known = sizes.join(own, "rep", "left").join(rows, "rep", "left")
+    one = (F.col("sets") == 1) & (F.coalesce("rows", F.lit(1)) == 1)
+    shared = F.col("s") - F.when(one, F.coalesce("own", F.lit(0))).otherwise(F.lit(0))
+    single = (F.col("sets") == 1) & F.coalesce("equal", F.lit(True))
+    return known.select(
+        "rep", F.col("n").cast("long").alias("n"), shared.cast("long").alias("s"), single.alias("single")
+    )
+
+
+def _all_spelled(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """The shingles of classes, from their texts where they are not stored: ``key, rep``."""
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,14 +207,26 @@ def _shared_sizes(classes: DataFrame, texts: DataFrame) -> DataFrame:
                 reps = batch.column(0).take(pa.array(w.first + row[long]))
                 yield pa.RecordBatch.from_arrays([pa.array(gram[long].view(np.int64)), reps], names=["key", "rep"])
 
-    spelled = texts.select("rep", "text").mapInArrow(spell, "key long, rep long").union(_spelled(classes))
-    alone = spelled.groupBy("key").agg(F.count(F.lit(1)).alias("df"), F.min("rep").alias("rep")).filter("df = 1")
-    own = alone.groupBy("rep").agg(F.count(F.lit(1)).alias("own"))
-    sizes = classes.groupBy("rep").agg(F.min("n").alias("n"), F.max("n").alias("s"), F.count(F.lit(1)).alias("sets"))
-    known = sizes.join(own, "rep", "left").join(texts.groupBy("rep").agg(F.count(F.lit(1)).alias("rows")), "rep", "left")
-    single = (F.col("sets") == 1) & (F.coalesce("rows", F.lit(1)) == 1)
-    shared = F.col("s") - F.when(single, F.coalesce("own", F.lit(0))).otherwise(F.lit(0))
-    return known.select("rep", F.col("n").cast("long").alias("n"), shared.cast("long").alias("s"))
+    return texts.select("rep", "text").mapInArrow(spell, "key long, rep long").union(_spelled(classes))
+
+
+def _rare_parts(sizes: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Buckets by the rarest shingles of full sets, as many as no link can do without.
+
+    ``sizes`` names the classes (``rep, n, s, single``); added are ``key`` and ``left``, the shingles
+    of the set from that one on. Linked sets have a first shingle in common, and all that they share
+    is left there. Shingles of one class only come before and take part in no bucket. Where an id
+    has several sets, all shingles are buckets and the whole set counts as left.
+    """
+    reps = sizes.select("rep")
+    spelled = _all_spelled(_semi(classes, reps, "rep"), _semi(texts, reps, "rep"))
+    shared = written(spelled.groupBy("key").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "near-common")
+    found = spelled.join(F.broadcast(shared) if within_bound(shared) else shared, "key")
+    listed = found.groupBy("rep").agg(F.array_sort(F.collect_set(F.struct("df", "key"))).alias("g"))  # of one text
+    placed = listed.join(sizes, "rep").select("rep", "n", "s", "single", F.size("g").alias("size"), F.posexplode("g").alias("i", "g"))
+    left = F.when(F.col("single"), F.col("size") - F.col("i")).otherwise(F.col("s"))
+    parts = placed.select(F.col("g.key").alias("key"), "rep", "n", "s", left.cast("long").alias("left"))
+    return parts.filter(F.col("left") * 100 >= F.col("n") * THRESHOLD)
 
 
 def _compared(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -305,7 +338,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     sizes = written(_shared_sizes(chosen, texts).filter(f"100 * s >= {THRESHOLD} * n"), "near-sizes")
     sized = members.join(F.broadcast(sizes) if within_bound(sizes) else sizes, "rep")
-    found = _connect(sized.select("key", "rep", "n", "s"), chosen, texts)
+    found = _connect(sized.select("key", "rep", "n", "s", F.col("s").alias("left")), sizes, chosen, texts)
     marked = classes.select("h1", "h2", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left")
     marked = written(
         marked.select("h1", "h2", F.coalesce("component", "rep").alias("component_id")), "near-components"
@@ -321,17 +354,37 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def _connect(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+def _connect(members: DataFrame, sizes: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Components of the linked classes: ``node, component``, without the smallest nodes."""
     spark = members.sparkSession
     seen = spark.createDataFrame([], "a long, b long")  # pairs that have been compared
     found = spark.createDataFrame([], "node long, component long")
+    found, seen, waiting = _rounds(members, found, seen, classes, texts, most_hubs=1)
+    reps = written(waiting.select("rep").distinct(), "near-open")
+    if reps.isEmpty():
+        return found
+    parts = _rare_parts(written(_semi(sizes, reps, "rep"), "near-open-sizes"), classes, texts)
+    return _rounds(written(parts, "near-parts"), found, seen, classes, texts)[0]
+
+
+def _rounds(
+    members: DataFrame,
+    found: DataFrame,
+    seen: DataFrame,
+    classes: DataFrame,
+    texts: DataFrame,
+    most_hubs: int | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Compare hubs of buckets until no bucket holds two components, or ``most_hubs`` have been.
+
+    Returns the components found, the pairs compared and the members of buckets that are left.
+    """
     # Members of a bucket that have not been its hub, bounds of their distance to its first, and the
     # most that they have in common with it (top) and with others apart from it (rest).
     waiting = members.withColumns(
         {"low": F.lit(0.0), "high": F.lit(1.0), "top": F.col("s").cast("double"), "rest": F.lit(0.0)}
     )
-    kept = ("key", "rep", "n", "s", "low", "high", "top", "rest")
+    kept = ("key", "rep", "n", "s", "left", "low", "high", "top", "rest")
     n_hubs = 1
     while True:
         home = waiting.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
@@ -340,10 +393,10 @@ def _connect(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
         home = written(home, "near-home")
         mixed = home.groupBy("key").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.min("n").alias("least"))
         mixed = mixed.filter("x < y").select("key", "least")
-        room = _may_link(F.col("s"), F.col("n") + F.col("least"))
+        room = _may_link(F.least("s", "left"), F.col("n") + F.col("least"))
         waiting = written(home.join(mixed, "key").filter(room).drop("least"), "near-waiting")
-        if waiting.isEmpty():
-            return found
+        if waiting.isEmpty() or most_hubs and n_hubs > most_hubs:
+            return found, seen, waiting
         # The text that others have most of comes first; cut to n_hubs inside each task.
         order = Window.partitionBy("key").orderBy((F.col("n") - F.col("s")) / F.col("n"), "rep")
         hubs = (
@@ -357,7 +410,8 @@ def _connect(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
         apart = (F.col("rep") != F.col("hub_rep")) & (F.col("c") != F.col("hub_c"))
         common, both = F.least("s", "hub_s"), F.col("n") + F.col("hub_n")
         parts = F.least("top", "hub_top") + F.least("rest", "hub_rest")
-        met = waiting.join(hubs, "key").filter(apart & near & _may_link(F.least(common, parts), both))
+        most = F.least(common, parts, "left", "hub_left")
+        met = waiting.join(hubs, "key").filter(apart & near & _may_link(most, both))
         end = (F.least("rep", "hub_rep").alias("a"), F.greatest("rep", "hub_rep").alias("b"))
         pairs = written(met.select(*end).distinct().join(seen, ["a", "b"], "left_anti"), "near-pairs")
         compared = written(_compared(pairs, classes, texts), "near-compared")
@@ -366,11 +420,11 @@ def _connect(members: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
             found = hung(found.select("component", "node").union(new))
         seen = written(seen.union(pairs), "near-seen")
         if n_hubs == 1:  # pairs that were ruled out are at least as far apart as their sizes say
-            first = waiting.select("key", "rep", "n", "s").join(hubs, "key").filter("rep <> hub_rep")
+            first = waiting.select("key", "rep", "n", "s", "left").join(hubs, "key").filter("rep <> hub_rep")
             least = F.greatest(F.lit(0.0), 1 - common / (both - common)).alias("least")
             # Where rows repeat an id, n is the least size of its sets and s the largest.
             largest = (F.greatest("n", "s") + F.greatest("hub_n", "hub_s")).alias("largest")
-            ended = first.select("key", "rep", "n", "s", *end, least, both.alias("both"), largest)
+            ended = first.select("key", "rep", "n", "s", "left", *end, least, both.alias("both"), largest)
             ended = ended.join(compared, ["a", "b"], "left").withColumns(
                 {"low": F.coalesce("low", "least"), "high": F.coalesce("high", F.lit(1.0))}
             )

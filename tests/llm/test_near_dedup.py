@@ -77,6 +77,35 @@ def test_copies_that_are_not_linked(spark):
     assert sorted(map(tuple, near_dedup.near_components(docs).collect())) == by_hand(rows)
 
 
+def half_similar(copies=100, words=300, edits=10, kinds=500):
+    """Copies of one text with edits that a few of them share: about half similar, hardly any linked."""
+    pick = random.Random(5)
+    base = [f"h{i}" for i in range(words)]
+    rows = []
+    for doc_id in range(copies):
+        out = list(base)
+        for kind in pick.sample(range(kinds), edits):
+            out[kind * 7 % words] = f"k{kind}"
+        rows.append((doc_id, " ".join(out)))
+    return rows + [(copies, rows[3][1] + " more"), (copies + 1, " ".join(base))]
+
+
+def test_half_similar_copies_are_not_compared_with_each_other(spark, monkeypatch):
+    rows = half_similar()
+    pairs = []
+    real = near_dedup._compared
+
+    def counted(found, *rest):
+        pairs.append(found.count())
+        return real(found, *rest)
+
+    monkeypatch.setattr(near_dedup, "_compared", counted)
+    twice = spark.createDataFrame(rows + rows[:20], "doc_id long, text string")  # equal rows that come twice
+    found = near_dedup.near_components(twice)
+    assert sorted(set(map(tuple, found.collect()))) == by_hand(rows)
+    assert sum(pairs) < len(rows) ** 2 / 4
+
+
 def test_odd_rows(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "A b c d e f"), (None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
