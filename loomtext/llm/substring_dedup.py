@@ -41,13 +41,16 @@ def _anchors(w: Words, size: int, window: int) -> tuple[np.ndarray, np.ndarray,
     hashes, _ = w.windows(size)
     n = len(hashes)
     whole = w.at + window <= np.diff(w.bounds)[w.row]
-    best, place = hashes.copy(), np.arange(n)
-    for j in range(1, window - size + 1):
-        if j >= n:
+    best, place = hashes, np.arange(n)
+    seen, wanted = 1, window - size + 1
+    while seen < wanted:  # the least of twice as many short windows each time; of equal ones, the first
+        step = min(seen, wanted - seen)
+        if step >= n:
             break
-        less = hashes[j:] < best[: n - j]
-        best[: n - j][less] = hashes[j:][less]
-        place[: n - j][less] = np.arange(j, n)[less]
+        less = best[step:] < best[:-step]
+        best = np.append(np.where(less, best[step:], best[:-step]), best[-step:])
+        place = np.append(np.where(less, place[step:], place[:-step]), place[-step:])
+        seen += step
     return place, hashes, whole
 
 

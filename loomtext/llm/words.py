@@ -115,17 +115,18 @@ def _words(data: np.ndarray, cuts: np.ndarray, table: np.ndarray, first: int, ba
         none = np.zeros(0, dtype=np.int64)
         bounds = np.zeros(rows + 1, dtype=np.int64)
         return Words(first, rows, data, none, none, none, none, bounds, none.astype(np.uint64))
-    word = np.cumsum(starts) - 1  # of each byte from the first word on
-    within = np.flatnonzero(inside)
-    of = word[within]
-    place = within - start[of]
-    pieces = values[within].astype(np.uint64) * _powers(base, int(place.max()) + 1)[place]
-    firsts = np.flatnonzero(place == 0)
+    ends = inside.copy()
+    ends[:-1] &= ~inside[1:] | starts[1:]
+    end = np.flatnonzero(ends) + 1
+    length = end - start
+    firsts = np.cumsum(length) - length  # of each word among the bytes inside words
+    place = np.arange(firsts[-1] + length[-1]) - np.repeat(firsts, length)
+    pieces = values[inside] * _powers(base, int(length.max()))[place]
     hashes = mix(np.add.reduceat(pieces, firsts))
-    end = start + np.diff(np.append(firsts, len(within)))
     bounds = np.searchsorted(start, cuts)
-    row = np.repeat(np.arange(rows), np.diff(bounds))
-    return Words(first, rows, data, start, end, row, np.arange(len(start)) - bounds[row], bounds, hashes)
+    sizes = np.diff(bounds)
+    row = np.repeat(np.arange(rows), sizes)
+    return Words(first, rows, data, start, end, row, np.arange(len(start)) - np.repeat(bounds[:-1], sizes), bounds, hashes)
 
 
 def batch_words(texts: pa.Array, table: np.ndarray, base: np.uint64 = _BYTE) -> Iterator[Words]:

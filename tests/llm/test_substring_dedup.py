@@ -2,10 +2,14 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
+import numpy as np
+import pyarrow as pa
 from checks import connect, differences
 
 from loomtext.llm import queries, substring_dedup
+from loomtext.llm.words import SPACED, batch_words
 
 
 def by_hand(rows, window):
@@ -44,6 +48,25 @@ def test_against_brute_force(spark):
         assert sorted(map(tuple, got.collect())) == by_hand(rows, window)
 
 
+def test_anchors_are_least_windows_found_in_few_passes():
+    pick = random.Random(3)
+    texts = pa.array([" ".join(f"w{pick.randrange(40)}" for _ in range(n)) for n in (0, 3, 25, 4000)])
+    (w,) = batch_words(texts, SPACED)
+
+    def took(window):
+        began = time.process_time()
+        for _ in range(5):
+            substring_dedup._anchors(w, 5, window)
+        return time.process_time() - began
+
+    for size, window in ((5, 20), (10, 20), (7, 7), (2, 13), (5, 5000)):
+        place, hashes, _ = substring_dedup._anchors(w, size, window)
+        for i in range(0, len(hashes), 7):
+            assert place[i] == i + np.argmin(hashes[i : i + window - size + 1])  # the first of equal ones
+    # Passes grow with the logarithm of the window.
+    assert min(took(2048) for _ in range(3)) < 30 * min(took(20) for _ in range(3))
+
+
 def test_odd_rows(spark):
     text = " ".join(f"w{i}" for i in range(30))
     docs = spark.createDataFrame([(1, text), (1, text), (None, text), (2, text)], "doc_id long, text string")
