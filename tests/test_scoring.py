@@ -2,9 +2,10 @@ from __future__ import annotations
 
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from loomtext.operators import lexical as L
 from loomtext.operators import scale, scoring
@@ -76,3 +77,33 @@ def test_dealt_leaves_small_tables_to_spark(spark):
     rows = spark.range(100)
     assert scale.dealt(rows, 100, "id") is rows
     assert scale.dealt(rows, 20 * scale.TASK_ROWS, "id").rdd.getNumPartitions() == 20
+
+
+def test_postings_are_stored_by_tasks_of_bounded_rows(spark, monkeypatch):
+    rows = [(i, f"common w{i % 700} " + ("often" if i % 3 else "seldom")) for i in range(3000)] + [(None, "common")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    model = L.fit_lexical(docs)
+    monkeypatch.setattr(scale, "TASK_ROWS", 500)
+    stored = L.store_postings(docs, model)
+    part = F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1)
+    files = stored.groupBy(part.alias("task"), F.input_file_name().alias("f")).count().collect()
+    tasks = Counter()
+    for r in files:
+        tasks[r["task"]] += r["count"]
+    assert max(tasks.values()) <= 650  # "common" alone has 3,001 rows
+    assert len(files) <= stored.select("bucket").distinct().count() + len(tasks)
+    expected = L.tfidf_docs(L.count_words(docs, "doc_id", "text"), model)
+    found = [sorted((r[0] or -1, r[1], round(r[2], 9)) for r in f.collect()) for f in (expected, stored)]
+    assert found[0] == found[1] and len(found[0]) == model.n_postings
+
+
+def test_rows_in_line_fill_their_tasks(spark, monkeypatch):
+    monkeypatch.setattr(scale, "TASK_ROWS", 1000)
+    sizes = [0, 5, 7000, 0, 20, 1500, 3]
+    rows = [(b, i) for b, n in enumerate(sizes) for i in range(n)] + [(2, None)]
+    df = spark.createDataFrame(rows, "b int, i int")
+    dealt = scale.dealt_in_line(df, "b", sizes, "b", "i")
+    held = dealt.groupBy(F.spark_partition_id()).agg(F.count("*"), F.countDistinct("b")).collect()
+    assert dealt.count() == len(rows) and dealt.rdd.getNumPartitions() == len(held)
+    assert all(n <= 1200 for _, n, _ in held) and sum(k for _, _, k in held) <= 5 + len(held)
+    assert scale.dealt_in_line(df.limit(0), "b", [], "b").count() == 0
