@@ -356,9 +356,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _connect(members: DataFrame, sizes: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """Components of the linked classes: ``node, component``, without the smallest nodes."""
-    spark = members.sparkSession
-    seen = spark.createDataFrame([], "a long, b long")  # pairs that have been compared
-    found = spark.createDataFrame([], "node long, component long")
+    seen = _no_pairs(members, "a", "b")  # pairs that have been compared
+    found = _no_pairs(members, "node", "component")
     found, seen, waiting = _rounds(members, found, seen, classes, texts, most_hubs=1)
     reps = written(waiting.select("rep").distinct(), "near-open")
     if reps.isEmpty():
@@ -367,6 +366,12 @@ def _connect(members: DataFrame, sizes: DataFrame, classes: DataFrame, texts: Da
     return _rounds(written(parts, "near-parts"), found, seen, classes, texts)[0]
 
 
+def _no_pairs(members: DataFrame, *names: str) -> DataFrame:
+    """No rows, by a filter that Spark plans away: an empty list given to Spark would be read by
+    Python workers of their own in every executor, beside those of the sets."""
+    return members.select(*(F.col("rep").alias(n) for n in names)).filter(F.lit(False))
+
+
 def _rounds(
     members: DataFrame,
     found: DataFrame,

@@ -106,6 +106,21 @@ def test_half_similar_copies_are_not_compared_with_each_other(spark, monkeypatch
     assert sum(pairs) < len(rows) ** 2 / 4
 
 
+def test_rounds_start_without_python(spark, monkeypatch):
+    plans = []
+    real = near_dedup._rounds
+
+    def planned(members, found, seen, *rest, **options):
+        plans.append([f._jdf.queryExecution().executedPlan().toString() for f in (found, seen)])
+        return real(members, found, seen, *rest, **options)
+
+    monkeypatch.setattr(near_dedup, "_rounds", planned)
+    rows = half_similar(copies=20)
+    found = near_dedup.near_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, found.collect())) == by_hand(rows)
+    assert plans and not any("ExistingRDD" in plan for plan in plans[0])  # rows of a Python list
+
+
 def test_odd_rows(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f"), (2, "A b c d e f"), (None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
