@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from loomtext.functions.text import tokenize_and_clean
 from loomtext.operators import lexical as L
+from loomtext.operators import scoring
 from loomtext.operators.hybrid import rrf_fuse
 
 
@@ -157,6 +158,59 @@ def test_stored_postings_are_pruned_by_bucket(spark, faq, ask, model):
     assert not L._asked_postings(stored, vectors.limit(0), model, bounded, "doc_id").collect()
 
 
+def test_stored_slices_hold_whole_documents(spark, faq, ask, monkeypatch):
+    more = [("FAQ-01", "bursar fee again"), (None, "river bank without a name"), (None, "wire")]
+    docs = faq.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id string, text string"))
+    model = L.fit_lexical(docs)
+    queries = ask("bursar fee deposit wire", "river bank", "unknown words")
+
+    def found(**options):
+        rows = L.search_topk(docs, queries, model, **options).collect()
+        return sorted((r["query_id"], r["rank"], r["doc_id"] or "", round(r["cosine_score"], 9)) for r in rows)
+
+    whole = found(postings=L.store_postings(docs, model))
+    monkeypatch.setattr(L, "SLICE_ROWS", 8)
+    monkeypatch.setattr(L, "SLICE_WORDS", 0)
+    stored = L.store_postings(docs, model)
+    slices = stored.groupBy("doc_id").agg(F.countDistinct("slice")).collect()
+    assert {n for _, n in slices} == {1} and stored.select("slice").distinct().count() > 1
+    expected = L.tfidf_docs(L.count_words(docs, "doc_id", "text"), model)
+    rows = [sorted((r[0] or "", r[1], round(r[2], 9)) for r in f.collect()) for f in (expected, stored)]
+    assert rows[0] == rows[1] != []
+    vectors, bounded = L.query_vectors(queries, model)
+    one = L._asked_postings(stored, vectors, model, bounded, "doc_id").collect()
+    parts = [f.collect() for f in L._asked_by_slice(stored, vectors, model, bounded, "doc_id")]
+    assert len(parts) > 1 and max(map(len, parts)) < len(one)
+    hits = [sorted((r[0] or "", h["term"], h["doc_weight"]) for r in f for h in r["hits"]) for f in (one, sum(parts, []))]
+    assert hits[0] == hits[1] != []
+    assert found(postings=stored) == whole == found() != []
+
+
+def test_many_queries_are_explained_without_a_shuffle_of_weights(faq, ask, model, monkeypatch):
+    queries = ask("bursar fee deposit wire", "river bank", "bank wire", "fee", "deposit river", "unknown")
+    stored = L.store_postings(faq, model)
+
+    def found(**options):
+        rows = L.search_topk(faq, queries, model, top=2, **options).collect()
+        return sorted((r["query_id"], r["rank"], r["doc_id"], r["matched_keywords"]) for r in rows)
+
+    once = found()
+    few, explain = [], L.explain_hits
+
+    def watched(best, weights, vectors, vectors_bounded=True, best_bounded=True, *ids):
+        few.append(best_bounded)
+        return explain(best, weights, vectors, vectors_bounded, best_bounded, *ids)
+
+    monkeypatch.setattr(L, "explain_hits", watched)
+    monkeypatch.setattr(L, "within_bound", lambda *_, **__: False)
+    monkeypatch.setattr(L, "BROADCAST_ROWS", 8)
+    monkeypatch.setattr(scoring, "BROADCAST_ROWS", 4)
+    assert found() == once != []
+    monkeypatch.setattr(L, "BLOCKS_AT_ONCE", 2)
+    assert found(postings=stored) == once
+    assert len(few) > 4 and all(few)  # 12 hits in all, at most 8 in a block
+
+
 def test_threshold_equality_succeeds(spark, ask):
     ranked = spark.createDataFrame(
         [(1, 1, 7, 0.2, ["a"]), (2, 1, 8, 0.1999, ["a"])],

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +83,28 @@ def test_scratch_dir_follows_the_session(spark):
     assert S.written(df, "five").count() == 5
 
 
+def test_parts_leave_no_shuffle_files(spark):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = {files.apply(i).getName() for i in range(files.size())}
+        return {n for n in names if n.startswith("shuffle_")}
+
+    def part(i):
+        seen.append(shuffles())
+        return spark.range(20).filter(F.col("id") % 3 == i).repartition(2).withColumn("part", F.lit(i))
+
+    seen, setting, before = [], spark.conf.get(S._FREE), shuffles()
+    table = S.written_in_parts(map(part, range(3)), "parts", ["part"])
+    assert spark.conf.get(S._FREE) == setting and len(seen) == 3
+    for _ in range(50):  # files are deleted beside the next step
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert sorted(r[0] for r in table.select("id").collect()) == list(range(20))
+    assert sorted(r[0] for r in table.filter("part = 1").select("id").collect()) == [1, 4, 7, 10, 13, 16, 19]
+
+
 def test_spread_leaves_frames_without_files(spark, sf):
     assert S.spread(spark.range(3), "id").rdd.getNumPartitions() == spark.range(3).rdd.getNumPartitions()
     docs = spark.read.parquet(f"{sf}/documents.parquet")
